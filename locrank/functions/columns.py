@@ -9,9 +9,17 @@ def rename(df, names):
     return df.withColumnsRenamed(names)
 
 
-def fill_numeric_nulls(df):
-    """Null becomes 0 in numeric columns. Text and dates keep their nulls."""
-    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+def fill_numeric_nulls(df, keys=()):
+    """Null becomes 0 in numeric columns. Text, dates and the named keys keep their nulls.
+
+    A key that is a number must not become 0: it would match the key 0, and a hot null key would
+    reach the shuffle of the next join instead of being dropped at the scan.
+    """
+    numeric = [
+        field.name
+        for field in df.schema.fields
+        if isinstance(field.dataType, T.NumericType) and field.name not in keys
+    ]
     return df.na.fill(0, subset=numeric) if numeric else df
 
 

@@ -61,5 +61,7 @@ def salted_join(many, one, key, spread_by, rows_per_salt=1_000_000):
     right = one.join(hot, key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
-    joined = left.drop("_salts").join(right.drop("_salts"), [key, "_salt"], "inner")
+    joined = left.drop("_salts").join(
+        right.drop("_salts").hint("merge"), [key, "_salt"], "inner"
+    )
     return joined.drop("_salt")

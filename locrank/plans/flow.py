@@ -36,7 +36,7 @@ SNAPSHOT_COLUMNS = [KEY, *SNAPSHOT_COUNTS, *RATES]
 
 def clean_observations(observations):
     """The six columns of an observation, nulls in the measures as 0."""
-    return fill_numeric_nulls(observations.select(KEY, "date", *MEASURES))
+    return fill_numeric_nulls(observations.select(KEY, "date", *MEASURES), keys=[KEY])
 
 
 def daily(observations, scale=None):
@@ -46,8 +46,8 @@ def daily(observations, scale=None):
 
 def snapshot_rates(snapshot):
     """Key, counts and the two rates of each snapshot row."""
-    named = rename(fill_numeric_nulls(snapshot), {SNAPSHOT_KEY: KEY})
-    return add_rates(named).select(*SNAPSHOT_COLUMNS)
+    named = rename(snapshot, {SNAPSHOT_KEY: KEY})
+    return add_rates(fill_numeric_nulls(named, keys=[KEY])).select(*SNAPSHOT_COLUMNS)
 
 
 def unique_snapshot(rated):

@@ -6,7 +6,6 @@ from locrank.functions import fill_numeric_nulls
 from locrank.operators import (
     any_row_per_key,
     check_output,
-    consumers_of,
     contract_violations,
     derive_edges,
     fan_in,
@@ -168,7 +167,7 @@ def output_check_clean(spark, sf_dir):
 
 def lineage_edges(spark, sf_dir, rows_per_salt=None):
     producers = producers_of(star.row_outputs(spark, sf_dir))
-    consumers = consumers_of(star.row_inputs(spark, sf_dir))
+    consumers = star.row_consumers(spark, sf_dir)
     return derive_edges(producers, consumers, rows_per_salt)
 
 
@@ -191,7 +190,7 @@ def _answer(spark, graph, acyclic):
 
 def lineage_acyclic(spark, sf_dir):
     producers = producers_of(star.row_outputs(spark, sf_dir))
-    consumers = consumers_of(star.row_inputs(spark, sf_dir))
+    consumers = star.row_consumers(spark, sf_dir)
     return _answer(spark, "rows", is_acyclic_lineage(producers, consumers))
 
 
@@ -217,7 +216,8 @@ def lineage_acyclic_trade_upward(spark, sf_dir):
 
 def lineage_output_contract(spark, sf_dir):
     """Orders that do not deliver exactly one part."""
-    tasks = star.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("task"))
+    orders = star.table(spark, sf_dir, "orders", star.ORDER_COLUMNS)
+    tasks = orders.select(F.col("o_orderkey").alias("task"))
     return contract_violations(tasks, star.order_outputs(spark, sf_dir))
 
 

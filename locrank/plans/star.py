@@ -10,15 +10,24 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from locrank.schemas import KEY, MEASURES
+from locrank.sources import read_parquet
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+EVENT_COLUMNS = "user_id long, event_type string"
+LINE_COLUMNS = (
+    "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_linestatus string"
+)
+ORDER_COLUMNS = "o_orderkey long, o_custkey long"
+CUSTOMER_COLUMNS = "c_custkey long, c_nationkey long"
+SUPPLIER_COLUMNS = "s_suppkey long, s_nationkey long"
+NATION_COLUMNS = "n_nationkey long, n_regionkey long"
 
 # Two decimal places of money: totals are added as decimals.
 SCALE = 2
 
 
-def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark, sf_dir, name, columns=None):
+    """A table of the folder. Stating the columns and types saves the job that reads them."""
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet", columns)
 
 
 def observations(spark, sf_dir):
@@ -39,14 +48,18 @@ def observations(spark, sf_dir):
 
 
 def snapshot(spark, sf_dir):
-    """One row per user: all events, errors and purchases."""
+    """One row per user: all events, errors and purchases.
+
+    The key is renamed before the grouping, so a join on it finds the rows partitioned already.
+    """
 
     def of_type(kind):
         return F.count(F.when(F.col("event_type") == kind, 1))
 
     return (
-        table(spark, sf_dir, "events")
-        .groupBy(F.col("user_id").alias(KEY))
+        table(spark, sf_dir, "events", EVENT_COLUMNS)
+        .select(F.col("user_id").alias(KEY), "event_type")
+        .groupBy(KEY)
         .agg(
             F.count(F.lit(1)).alias("Confirmed"),
             of_type("error").alias("Deaths"),
@@ -62,7 +75,7 @@ def snapshot_file(spark, sf_dir):
         return F.count(F.when(F.col("event_type") == kind, 1))
 
     counted = (
-        table(spark, sf_dir, "events")
+        table(spark, sf_dir, "events", EVENT_COLUMNS)
         .groupBy(F.col("user_id").cast("string").alias("Country/Region"))
         .agg(
             F.count(F.lit(1)).alias("Confirmed"),
@@ -122,7 +135,7 @@ def row_outputs(spark, sf_dir):
     """outputs(task, name, path): each row that others refer to declares itself as a dataset."""
 
     def of_table(kind, source, key):
-        return table(spark, sf_dir, source).select(
+        return table(spark, sf_dir, source, f"{key} long").select(
             _row(kind, key).alias("task"),
             _name(kind, key).alias("name"),
             _path(kind, key).alias("path"),
@@ -131,23 +144,44 @@ def row_outputs(spark, sf_dir):
     return reduce(lambda a, b: a.unionAll(b), [of_table(*row) for row in PRODUCING])
 
 
-def row_inputs(spark, sf_dir):
-    """tasks(task, inputs): the rows a row's foreign keys name, some by name, some by path."""
+def row_consumers(spark, sf_dir):
+    """consumers(task, dataset): the rows a row's foreign keys name, some by name, some by path."""
 
-    def of_table(source, task, *inputs):
-        return table(spark, sf_dir, source).select(
-            task.alias("task"), F.array(*inputs).alias("inputs")
+    def of_table(source, columns, task, *inputs):
+        return table(spark, sf_dir, source, columns).select(
+            task.alias("task"), F.explode(F.array(*inputs)).alias("dataset")
         )
 
     return reduce(
         lambda a, b: a.unionAll(b),
         [
-            of_table("nation", _row("nation", "n_nationkey"), _name("region", "n_regionkey")),
-            of_table("customer", _row("customer", "c_custkey"), _path("nation", "c_nationkey")),
-            of_table("supplier", _row("supplier", "s_suppkey"), _path("nation", "s_nationkey")),
-            of_table("orders", _row("order", "o_orderkey"), _name("customer", "o_custkey")),
+            of_table(
+                "nation",
+                NATION_COLUMNS,
+                _row("nation", "n_nationkey"),
+                _name("region", "n_regionkey"),
+            ),
+            of_table(
+                "customer",
+                CUSTOMER_COLUMNS,
+                _row("customer", "c_custkey"),
+                _path("nation", "c_nationkey"),
+            ),
+            of_table(
+                "supplier",
+                SUPPLIER_COLUMNS,
+                _row("supplier", "s_suppkey"),
+                _path("nation", "s_nationkey"),
+            ),
+            of_table(
+                "orders",
+                ORDER_COLUMNS,
+                _row("order", "o_orderkey"),
+                _name("customer", "o_custkey"),
+            ),
             of_table(
                 "lineitem",
+                LINE_COLUMNS,
                 _row("line", "l_orderkey", "l_linenumber"),
                 _path("order", "l_orderkey"),
                 _name("part", "l_partkey"),
@@ -160,7 +194,7 @@ def row_inputs(spark, sf_dir):
 def order_outputs(spark, sf_dir):
     """outputs(task, name, path): an order delivers the parts of its finished lines."""
     return (
-        table(spark, sf_dir, "lineitem")
+        table(spark, sf_dir, "lineitem", LINE_COLUMNS)
         .where(F.col("l_linestatus") == "F")
         .select(
             F.col("l_orderkey").alias("task"),
@@ -176,7 +210,7 @@ def stock_lineage(spark, sf_dir, status):
     Finished lines put the part on stock, open lines take it.
     """
     return (
-        table(spark, sf_dir, "lineitem")
+        table(spark, sf_dir, "lineitem", LINE_COLUMNS)
         .where(F.col("l_linestatus") == status)
         .select(
             F.col("l_orderkey").alias("task"),
@@ -190,16 +224,16 @@ def trade(spark, sf_dir):
 
     Lines are reduced to distinct (order, nation) pairs inside the map tasks before they move.
     """
-    suppliers = table(spark, sf_dir, "supplier").select(
+    suppliers = table(spark, sf_dir, "supplier", SUPPLIER_COLUMNS).select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("dst")
     )
-    customers = table(spark, sf_dir, "customer").select(
+    customers = table(spark, sf_dir, "customer", CUSTOMER_COLUMNS).select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("src")
     )
-    orders = table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders", ORDER_COLUMNS).select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey"
     )
-    sold = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    sold = table(spark, sf_dir, "lineitem", LINE_COLUMNS).select("l_orderkey", "l_suppkey")
     supplied = sold.join(suppliers, "l_suppkey").select("l_orderkey", "dst").distinct()
     bought = orders.join(customers, "o_custkey").select("l_orderkey", "src")
     return supplied.join(bought, "l_orderkey").select("src", "dst").distinct()

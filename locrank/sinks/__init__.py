@@ -1,7 +1,7 @@
 from locrank.sinks.files import replace_csv, replace_parquet
 from locrank.sinks.jdbc import load_table, rows_to_load
 from locrank.sinks.publish import PublishResult, prune_versions, publish, published_path
-from locrank.storage import scratch_dir
+from locrank.storage import scratch_dir, shared_root
 
 __all__ = [
     "PublishResult",
@@ -13,4 +13,5 @@ __all__ = [
     "replace_parquet",
     "rows_to_load",
     "scratch_dir",
+    "shared_root",
 ]

@@ -20,17 +20,23 @@ def delete(spark, path):
     return system.delete(located, True)
 
 
-def scratch_dir(spark, purpose):
-    """A new folder name under the shared folder the cluster gives in spark.checkpoint.dir.
+def shared_root(spark):
+    """The folder the cluster gives in spark.checkpoint.dir, set for checkpoints too.
 
     A local session without that setting gets a temporary folder; on a cluster executors would
     not share one, so there the setting is required.
     """
     context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="locrank-"))
-        root = context.getCheckpointDir()
-    return f"{root.rstrip('/')}/locrank/{purpose}-{uuid.uuid4().hex}"
+        root = tempfile.mkdtemp(prefix="locrank-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
+    return root
+
+
+def scratch_dir(spark, purpose):
+    """A new folder name under the shared root."""
+    return f"{shared_root(spark).rstrip('/')}/locrank/{purpose}-{uuid.uuid4().hex}"
