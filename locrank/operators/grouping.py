@@ -13,14 +13,16 @@ LOWEST = -(2**63)
 def sum_by(df, keys, measures, scale=None):
     """Sum the measures per key; the columns come out in the order given.
 
-    With `scale`, the values are added as decimals of that many places and the total returned as
-    a double: the sum then does not depend on the order in which partitions are added.
+    With `scale`, for doubles of that many decimal places such as money, whole units of the last
+    place are added: the total then does not depend on the order in which partitions are added,
+    and has 28 digits, so that the sum of a hot key does not overflow.
     """
 
     def total(name):
         if scale is None:
             return F.sum(name).alias(name)
-        return F.sum(F.col(name).cast(f"decimal(18,{scale})")).cast("double").alias(name)
+        units = F.rint(F.col(name) * 10**scale).cast("long").cast("decimal(18,0)")
+        return (F.sum(units).cast("double") / 10**scale).alias(name)
 
     return df.groupBy(*keys).agg(*[total(name) for name in measures])
 

@@ -21,7 +21,7 @@ CUSTOMER_COLUMNS = "c_custkey long, c_nationkey long"
 SUPPLIER_COLUMNS = "s_suppkey long, s_nationkey long"
 NATION_COLUMNS = "n_nationkey long, n_regionkey long"
 
-# Two decimal places of money: totals are added as decimals.
+# Prices have two decimal places.
 SCALE = 2
 
 

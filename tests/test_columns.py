@@ -1,0 +1,51 @@
+from datetime import date
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from locrank.functions import add_rates, fill_numeric_nulls, rename, safe_ratio
+
+
+def test_fill_leaves_text_dates_and_keys(spark):
+    schema = "key long, name string, day date, whole int, part double, money decimal(10,2)"
+    frame = spark.createDataFrame([(None, None, None, None, None, None)], schema)
+    row = fill_numeric_nulls(frame, keys=["key"]).first()
+    assert (row.key, row.name, row.day) == (None, None, None)
+    assert (row.whole, row.part, row.money) == (0, 0.0, 0)
+
+
+def test_fill_without_numeric_columns(spark):
+    frame = spark.createDataFrame([(None,)], "name string")
+    assert fill_numeric_nulls(frame).first()["name"] is None
+
+
+def test_column_empty_in_all_rows_is_zero_by_its_declared_type(spark, tmp_path):
+    (tmp_path / "part.csv").write_text("a,b\nx,\ny,\n")
+    frame = spark.read.schema("a string, b double").option("header", True).csv(str(tmp_path))
+    assert [row.b for row in fill_numeric_nulls(frame).collect()] == [0.0, 0.0]
+
+
+def test_safe_ratio_guards(spark):
+    rows = [(1, 4), (1, 0), (1, None), (1, -2), (0, 3), (None, 3)]
+    frame = spark.createDataFrame(rows, "a long, b long")
+    ratio = frame.select(safe_ratio("a", "b").alias("r"))
+    assert ratio.schema["r"].dataType == T.DoubleType()
+    assert [row.r for row in ratio.collect()] == [0.25, 0.0, 0.0, 0.0, 0.0, None]
+
+
+def test_ratio_of_long_columns_is_one_true_division(spark):
+    frame = spark.createDataFrame([("x", 3, 1, 2)], "location string, Confirmed long, Deaths long, Recovered long")
+    row = add_rates(frame).first()
+    assert (row.mortality_rate, row.recovery_rate) == (1 / 3, 2 / 3)
+
+
+def test_rename_ignores_missing_names(spark):
+    frame = spark.createDataFrame([(1, date(2020, 1, 1))], "a int, b date")
+    assert rename(frame, {"a": "c", "nothing": "d"}).columns == ["c", "b"]
+    assert rename(rename(frame, {"a": "c"}), {"a": "c"}).columns == ["c", "b"]
+
+
+def test_ratio_stays_in_generated_code(spark):
+    frame = spark.range(3).select(F.col("id").alias("a"), (F.col("id") - 1).alias("b"))
+    plan = frame.select(safe_ratio("a", "b"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "CASE WHEN" in plan

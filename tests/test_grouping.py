@@ -1,0 +1,82 @@
+import random
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from locrank.operators import any_row_per_key, latest_per_key, one_row_per_key, sum_by, top_k
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sum_by_adds_several_rows_and_keeps_order(spark):
+    frame = spark.createDataFrame(
+        [("x", 1, 1.0, 2.0), ("x", 1, 3.0, None), ("y", 1, 5.0, None)],
+        "location string, date int, b double, a double",
+    )
+    summed = sum_by(frame, ["location", "date"], ["b", "a"])
+    assert summed.columns == ["location", "date", "b", "a"]
+    assert sorted(map(tuple, summed.collect())) == [("x", 1, 4.0, 2.0), ("y", 1, 5.0, None)]
+
+
+def test_sum_by_with_scale_does_not_depend_on_order(spark):
+    draw = random.Random(7)
+    values = [round(draw.uniform(0, 500000), 2) for _ in range(5000)]
+    expected = sum(round(v * 100) for v in values) / 100
+    for _ in range(3):
+        draw.shuffle(values)
+        frame = spark.createDataFrame([("x", v) for v in values], "k string, v double")
+        assert sum_by(frame.repartition(7), ["k"], ["v"], scale=2).first().v == expected
+
+
+def test_sum_by_with_scale_beyond_long(spark):
+    frame = spark.range(20).select(F.lit("x").alias("k"), F.lit(9.0e15).alias("v"))
+    assert sum_by(frame, ["k"], ["v"], scale=2).first().v == 1.8e17
+
+
+def test_latest_per_key(spark):
+    rows = [
+        ("x", date(2020, 1, 1), 1.0, "a"),
+        ("x", date(2020, 1, 3), None, "b"),
+        ("x", None, 9.0, "c"),
+        ("y", None, 4.0, "d"),
+        ("z", date(1960, 5, 5), 2.0, "e"),
+    ]
+    frame = spark.createDataFrame(rows, "k string, day date, v double, w string")
+    found = sorted(map(tuple, latest_per_key(frame, "k", "day", ["v", "w"]).collect()))
+    assert found == [
+        ("x", date(2020, 1, 3), None, "b"),
+        ("y", None, 4.0, "d"),
+        ("z", date(1960, 5, 5), 2.0, "e"),
+    ]
+
+
+def test_latest_of_numbers_is_a_hash_aggregate(spark):
+    frame = spark.range(9).select(
+        F.col("id").alias("k"), F.current_date().alias("day"), F.col("id").alias("v")
+    )
+    plan = plan_of(latest_per_key(frame, "k", "day", ["v"]))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Window" not in plan
+
+
+def test_one_row_per_key_limits_before_the_shuffle(spark):
+    rows = [("x", 1, 5), ("x", 2, 5), ("x", 2, 7), ("y", 0, None), ("y", 0, 1)]
+    frame = spark.createDataFrame(rows, "k string, a int, b int")
+    best = one_row_per_key(frame, ["k"], [F.desc("a"), F.desc_nulls_last("b")])
+    assert sorted(map(tuple, best.collect())) == [("x", 2, 7), ("y", 0, 1)]
+    plan = plan_of(best)
+    assert plan.index("Exchange") < plan.index("row_number(), 1, Partial")
+
+
+def test_any_row_per_key(spark):
+    frame = spark.createDataFrame([("x", 1), ("x", 1), ("y", 2)], "k string, v int")
+    assert sorted(map(tuple, any_row_per_key(frame, ["k"]).collect())) == [("x", 1), ("y", 2)]
+
+
+def test_top_k_ties_nulls_and_large_k(spark):
+    rows = [("d", 0.5), ("c", 1.0), ("b", 0.5), ("a", None)]
+    frame = spark.createDataFrame(rows, "location string, rate double")
+    assert [r.location for r in top_k(frame, "rate", 2).collect()] == ["c", "b"]
+    assert [r.location for r in top_k(frame, "rate", 9).collect()] == ["c", "b", "d", "a"]
+    assert "TakeOrderedAndProject" in plan_of(top_k(frame, "rate", 2))
