@@ -1,4 +1,4 @@
 from locrank.sources.catalog import Catalog, Dataset
-from locrank.sources.readers import read_csv, read_parquet, read_published
+from locrank.sources.readers import read_csv, read_parquet, read_published, read_task_specs
 
-__all__ = ["Catalog", "Dataset", "read_csv", "read_parquet", "read_published"]
+__all__ = ["Catalog", "Dataset", "read_csv", "read_parquet", "read_published", "read_task_specs"]

@@ -1,5 +1,6 @@
 """Scans with a declared schema."""
 
+from locrank.schemas import TASK_SPEC
 from locrank.sinks.publish import published_path
 from locrank.sources.catalog import CSV_READ
 
@@ -26,3 +27,8 @@ def read_published(spark, dataset):
     if dataset.schema is not None:
         reader = reader.schema(dataset.schema)
     return reader.load(path)
+
+
+def read_task_specs(spark, path):
+    """Task specifications as JSON, one task per line: its name, its inputs and its outputs."""
+    return spark.read.schema(TASK_SPEC).json(path)

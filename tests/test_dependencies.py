@@ -1,0 +1,54 @@
+import json
+
+import pytest
+
+from locrank.plans.dependencies import CyclicFlowError, OutputContractError, dependency_lines
+from locrank.sources import read_task_specs
+
+
+def task(name, inputs, *outputs):
+    return {
+        "task": name,
+        "inputs": inputs,
+        "outputs": [{"name": output, "path": f"data/{output}"} for output in outputs],
+    }
+
+
+FLOW = [
+    task("task_1", ["large"], "clean"),
+    task("task_2", ["clean", "snapshot"], "joined"),
+    task("task_3", ["joined"], "best"),
+    task("task_4", ["data/best", "clean"], "loaded"),
+]
+
+
+@pytest.fixture
+def specs(spark, tmp_path):
+    def write(tasks):
+        (tmp_path / "tasks.json").write_text("\n".join(json.dumps(t) for t in tasks))
+        return read_task_specs(spark, str(tmp_path))
+
+    return write
+
+
+def test_lines_of_a_flow(specs):
+    lines = sorted(r.line for r in dependency_lines(specs(FLOW)).collect())
+    assert lines == ["[task_1, task_3] >> task_4", "task_1 >> task_2", "task_2 >> task_3"]
+
+
+def test_cycle_through_a_fan_in_stops_the_flow(specs):
+    back = task("task_1", ["large", "loaded"], "clean")
+    with pytest.raises(CyclicFlowError):
+        dependency_lines(specs([back, *FLOW[1:]]))
+
+
+def test_more_or_less_than_one_output_stops_the_flow(specs):
+    tasks = [*FLOW, task("task_5", []), task("task_6", [], "x", "y")]
+    with pytest.raises(OutputContractError, match="task_5 has 0, task_6 has 2"):
+        dependency_lines(specs(tasks))
+
+
+def test_output_without_a_path_does_not_count(specs):
+    bare = {"task": "task_5", "inputs": [], "outputs": [{"name": "x", "path": None}]}
+    with pytest.raises(OutputContractError, match="task_5 has 0"):
+        dependency_lines(specs([*FLOW, bare]))
