@@ -13,12 +13,28 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+TASK_BYTES = 512 * 1024**2
+MAX_SHUFFLE_PARTITIONS = 50_000
 
-def build_session(app_name="locrank", **extra):
-    """A session with SETTINGS; `extra` keys use `__` for the dots of a setting's name."""
+
+def sized_for(shuffle_bytes):
+    """Settings for a flow whose largest shuffle has about that many bytes.
+
+    The number of shuffle blocks is map tasks times partitions, so at the largest inputs splits are
+    large and partitions are held to a number the shuffle service can serve.
+    """
+    wanted = -(-shuffle_bytes // TASK_BYTES)
+    partitions = max(200, min(MAX_SHUFFLE_PARTITIONS, wanted))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(TASK_BYTES),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+    }
+
+
+def build_session(app_name="locrank", settings=None):
+    """A session with SETTINGS and the given ones, which win."""
     builder = SparkSession.builder.appName(app_name)
-    for name, value in SETTINGS.items():
+    for name, value in {**SETTINGS, **(settings or {})}.items():
         builder = builder.config(name, value)
-    for name, value in extra.items():
-        builder = builder.config(name.replace("__", "."), value)
     return builder.getOrCreate()

@@ -7,12 +7,28 @@ from locrank.session import build_session
 def spark(tmp_path_factory):
     session = build_session(
         "locrank-tests",
-        spark__master="local[8]",
-        spark__driver__memory="8g",
-        spark__sql__shuffle__partitions="8",
-        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
-        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+        {
+            "spark.master": "local[8]",
+            "spark.driver.memory": "8g",
+            "spark.sql.shuffle.partitions": "8",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def settings(spark):
+    """Set session settings for one test."""
+    before = {}
+
+    def put(name, value):
+        before.setdefault(name, spark.conf.get(name, None))
+        spark.conf.set(name, value)
+
+    yield put
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)

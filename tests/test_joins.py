@@ -5,20 +5,6 @@ from locrank.operators import join_on_key, lost_keys, rows_with_match, salted_jo
 from locrank.operators.joins import hot_keys
 
 
-@pytest.fixture
-def settings(spark):
-    """Set session settings for one test."""
-    before = {}
-
-    def put(name, value):
-        before.setdefault(name, spark.conf.get(name, None))
-        spark.conf.set(name, value)
-
-    yield put
-    for name, value in before.items():
-        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
 def rows(frame):
     return sorted(map(tuple, frame.collect()), key=repr)
 
