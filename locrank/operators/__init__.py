@@ -1,7 +1,14 @@
 from locrank.operators.checks import check_output
 from locrank.operators.cycles import is_acyclic, is_acyclic_lineage
 from locrank.operators.grouping import any_row_per_key, latest_per_key, one_row_per_key, sum_by
-from locrank.operators.joins import join_on_key, lost_keys, rows_with_match, salted_join
+from locrank.operators.joins import (
+    hot_keys,
+    join_on_key,
+    lost_keys,
+    rows_per_key,
+    rows_with_match,
+    salted_join,
+)
 from locrank.operators.lineage import (
     consumers_of,
     contract_violations,
@@ -19,6 +26,7 @@ __all__ = [
     "contract_violations",
     "derive_edges",
     "fan_in",
+    "hot_keys",
     "is_acyclic",
     "is_acyclic_lineage",
     "join_on_key",
@@ -27,6 +35,7 @@ __all__ = [
     "one_row_per_key",
     "outputs_of",
     "producers_of",
+    "rows_per_key",
     "rows_with_match",
     "salted_join",
     "sum_by",

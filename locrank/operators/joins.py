@@ -3,7 +3,8 @@
 No join carries a broadcast hint for a side that grows with the data. Whether a side is small
 enough is left to the session's broadcast limit, which Spark checks against file sizes when it
 plans and against measured shuffle sizes while it runs; beyond the limit the join is a shuffle
-join, and adaptive execution splits its hot partitions.
+join. Adaptive execution splits its hot partitions where both sides come straight from a shuffle;
+salted_join is for the others.
 """
 
 from pyspark.sql import functions as F
@@ -28,32 +29,35 @@ def rows_with_match(one, many, key):
 
 def lost_keys(many, one, key):
     """Keys of `many` that an inner join with `one` drops, with the rows each of them takes along."""
-    counted = many.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    return counted.join(one.select(key), key, "left_anti")
+    return rows_per_key(many, key).join(one.select(key), key, "left_anti")
 
 
-def hot_keys(df, key, rows_per_salt):
-    """The heaviest keys with the number of salts each needs.
+def hot_keys(counted, key, rows_per_salt):
+    """From the rows per key (key, rows): the heaviest keys and the number of salts each needs.
 
     At most MAX_HOT_KEYS rows whatever the input: any key left out holds less than one
     thousandth of it. The order is total, so every evaluation gives the same rows, which a join
     that evaluates this once for each side relies on.
     """
-    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     heaviest = counted.where(F.col(key).isNotNull()).orderBy(F.desc("rows"), key).limit(MAX_HOT_KEYS)
     salts = F.least(F.ceil(F.col("rows") / F.lit(rows_per_salt)), F.lit(MAX_SALTS)).cast("int")
     return heaviest.where(F.col("rows") > rows_per_salt).select(key, salts.alias("_salts"))
 
 
-def salted_join(many, one, key, spread_by, rows_per_salt=1_000_000):
-    """The rows of join_on_key, with the rows of each hot key spread over several tasks.
+def rows_per_key(df, key):
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
 
-    For joins whose skew is not visible in bytes (both sides hold many rows of a key, so the
-    output is what is large) or where adaptive execution is off. It costs one count over the key
-    column of `many`. The salt is a hash of `spread_by`, so a task that runs again after a lost
-    executor places its rows as before; rows of `one` are repeated for hot keys only.
+
+def salted_join(many, one, key, spread_by, hot, how="inner", hint=None):
+    """The rows of a join on `key`, with the rows of each hot key spread over several tasks.
+
+    `hot` comes from hot_keys. For joins whose skew adaptive execution does not split: it looks at
+    bytes, not at the pairs a key has, and splits only where both sides come straight from a shuffle
+    of the join, not where one side was aggregated by the key before. The salt is a hash of
+    `spread_by`, so a task that runs again after a lost executor places its rows as before; rows of
+    `one` are repeated for hot keys only, so `how` may also be left, left_semi or left_anti.
     """
-    hot = F.broadcast(hot_keys(many, key, rows_per_salt))
+    hot = F.broadcast(hot)
     salts = F.coalesce("_salts", F.lit(1))
     left = many.join(hot, key, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(*spread_by), salts).cast("int")
@@ -61,7 +65,5 @@ def salted_join(many, one, key, spread_by, rows_per_salt=1_000_000):
     right = one.join(hot, key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
-    joined = left.drop("_salts").join(
-        right.drop("_salts").hint("merge"), [key, "_salt"], "inner"
-    )
-    return joined.drop("_salt")
+    left, right = left.drop("_salts"), right.drop("_salts")
+    return left.join(right.hint(hint) if hint else right, [key, "_salt"], how).drop("_salt")

@@ -9,11 +9,13 @@ from locrank.operators import (
     contract_violations,
     derive_edges,
     fan_in,
+    hot_keys,
     is_acyclic,
     is_acyclic_lineage,
     lost_keys,
     one_row_per_key,
     producers_of,
+    rows_per_key,
     salted_join,
 )
 from locrank.plans import flow, star
@@ -42,9 +44,9 @@ def observations_with_rates(spark, sf_dir):
 
 def observations_with_rates_salted(spark, sf_dir):
     """The salt count starts at few rows per key here, so small tables have salted keys too."""
-    return salted_join(
-        observations_daily(spark, sf_dir), snapshot_rates(spark, sf_dir), KEY, ["date"], 8
-    )
+    daily = observations_daily(spark, sf_dir)
+    hot = hot_keys(rows_per_key(daily, KEY), KEY, rows_per_salt=8)
+    return salted_join(daily, snapshot_rates(spark, sf_dir), KEY, ["date"], hot)
 
 
 def lost_locations(spark, sf_dir):

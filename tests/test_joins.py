@@ -1,8 +1,14 @@
 import pytest
 from pyspark.sql import functions as F
 
-from locrank.operators import join_on_key, lost_keys, rows_with_match, salted_join
-from locrank.operators.joins import hot_keys
+from locrank.operators import (
+    hot_keys,
+    join_on_key,
+    lost_keys,
+    rows_per_key,
+    rows_with_match,
+    salted_join,
+)
 
 
 def rows(frame):
@@ -26,6 +32,11 @@ def skewed(spark):
     return many, one
 
 
+def salted(many, one, rows_per_salt, how="inner"):
+    hot = hot_keys(rows_per_key(many, "k"), "k", rows_per_salt)
+    return salted_join(many, one, "k", ["v"], hot, how)
+
+
 def by_hand(many, one):
     lookup = {r.k: r.w for r in one.collect() if r.k is not None}
     found = [(r.k, r.v, lookup[r.k]) for r in many.collect() if r.k in lookup]
@@ -42,7 +53,7 @@ def test_join_drops_unmatched_and_null_keys(skewed):
 @pytest.mark.parametrize("rows_per_salt", [1, 20, 10**6])
 def test_salted_join_has_the_same_rows(skewed, rows_per_salt):
     many, one = skewed
-    joined = salted_join(many, one, "k", ["v"], rows_per_salt)
+    joined = salted(many, one, rows_per_salt)
     assert joined.columns == ["k", "v", "w"]
     assert rows(joined) == by_hand(many, one)
 
@@ -51,12 +62,18 @@ def test_salted_join_with_several_rows_on_both_sides(spark, skewed):
     many, one = skewed
     twice = one.unionAll(one.withColumn("w", -F.col("w")))
     plain = join_on_key(many, twice, "k")
-    assert rows(salted_join(many, twice, "k", ["v"], 20)) == rows(plain)
+    assert rows(salted(many, twice, 20)) == rows(plain)
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_salted_join_of_other_kinds(skewed, how):
+    many, one = skewed
+    assert rows(salted(many, one, 20, how)) == rows(many.join(one, "k", how))
 
 
 def test_hot_keys_are_few_and_without_null(skewed):
     many, _ = skewed
-    hot = {r.k: r._salts for r in hot_keys(many, "k", 100).collect()}
+    hot = {r.k: r._salts for r in hot_keys(rows_per_key(many, "k"), "k", 100).collect()}
     assert hot[0] == 31 and None not in hot and len(hot) <= 1000
 
 
@@ -71,7 +88,7 @@ def test_salting_spreads_the_hot_key(spark, skewed, settings):
 
     settings("spark.sql.autoBroadcastJoinThreshold", "-1")
     assert largest_share(join_on_key(many, one, "k").select("v")) > 0.3
-    assert largest_share(salted_join(many, one, "k", ["v"], 100).select("v")) < 0.2
+    assert largest_share(salted(many, one, 100).select("v")) < 0.2
 
 
 def test_adaptive_execution_splits_the_hot_key(spark, skewed, settings):

@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -106,6 +108,15 @@ def test_prune_keeps_the_newest(spark, dataset):
         prune_versions(spark, dataset, keep=0)
 
 
+def test_runs_at_the_same_time_do_not_disturb_each_other(spark, dataset):
+    sizes = [11, 12, 13, 14]
+    with ThreadPoolExecutor(len(sizes)) as pool:
+        results = list(pool.map(lambda n: publish(spark.range(n).toDF("n"), dataset), sizes))
+    assert [r.row_count for r in results] == sizes
+    assert read_published(spark, dataset).count() in sizes
+    assert prune_versions(spark, dataset, keep=1) == 3
+
+
 def test_nothing_published(spark, dataset):
     assert published_path(spark, dataset) is None and prune_versions(spark, dataset) == 0
     with pytest.raises(FileNotFoundError):
