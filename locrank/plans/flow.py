@@ -110,9 +110,8 @@ def run_ranking(spark, catalog, k=RANKING_SIZE, on_missing="create"):
     return publish(rows, catalog["ranking"], on_missing)
 
 
-def run_load(spark, catalog, url, connect, table="best_recovery_countries", properties=None):
-    rows = read_published(spark, catalog["ranking"])
-    return load_table(rows, url, table, connect, properties)
+def run_load(spark, catalog, url, connect, **options):
+    return load_table(read_published(spark, catalog["ranking"]), url, connect, **options)
 
 
 __all__ = [

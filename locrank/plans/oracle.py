@@ -86,8 +86,19 @@ _EDGES = f"""{_OUTPUTS}, {_CONSUMERS}, producers AS (
 _SELECT_EDGES = f"WITH {_EDGES} SELECT src, dst FROM edges"
 
 
-def _fan_in(chunk):
-    return f"""WITH {_EDGES}, counted AS (
+_TASK_EDGES = """edges AS (
+  SELECT 'region ' || n_regionkey AS src, 'nation ' || n_nationkey AS dst
+  FROM nation JOIN region ON n_regionkey = r_regionkey
+  UNION SELECT 'nation ' || c_nationkey, 'customer ' || c_custkey
+        FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION SELECT 'nation ' || s_nationkey, 'supplier ' || s_suppkey
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey
+  UNION SELECT 'customer ' || o_custkey, 'order ' || o_orderkey
+        FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+
+def _fan_in(chunk, edges=_EDGES):
+    return f"""WITH {edges}, counted AS (
   SELECT dst, count(*) AS n FROM edges GROUP BY dst), parted AS (
   SELECT e.dst, e.src, CASE WHEN c.n <= {chunk} THEN 0
          ELSE CAST('0x' || substr(md5(e.src), 1, 8) AS BIGINT)
@@ -199,6 +210,7 @@ ORDER BY recovery_rate DESC NULLS LAST, CAST(location AS VARCHAR) LIMIT 40""",
     "lineage_edges_salted": _SELECT_EDGES,
     "lineage_fan_in": _fan_in(10000),
     "lineage_fan_in_parts": _fan_in(2),
+    "lineage_dependency_lines": _fan_in(10000, _TASK_EDGES),
     "lineage_acyclic": _acyclic("rows", _ROW_GRAPH, "VARCHAR"),
     "lineage_acyclic_orders": _acyclic("orders", _STOCK_EDGES, "BIGINT"),
     "lineage_acyclic_trade": _acyclic(

@@ -19,6 +19,7 @@ from locrank.operators import (
     salted_join,
 )
 from locrank.plans import flow, star
+from locrank.plans.dependencies import dependency_lines
 from locrank.schemas import KEY, OBSERVATIONS, SNAPSHOT
 from locrank.sinks import publish, replace_csv, replace_parquet, rows_to_load, scratch_dir
 from locrank.sources import Dataset, read_csv, read_parquet, read_published
@@ -216,6 +217,11 @@ def lineage_acyclic_trade_upward(spark, sf_dir):
     return _answer(spark, "upward", is_acyclic(upward))
 
 
+def lineage_dependency_lines(spark, sf_dir):
+    """Contract, cycle check and fan-in of one table of task specifications."""
+    return dependency_lines(star.row_tasks(spark, sf_dir))
+
+
 def lineage_output_contract(spark, sf_dir):
     """Orders that do not deliver exactly one part."""
     orders = star.table(spark, sf_dir, "orders", star.ORDER_COLUMNS)
@@ -255,5 +261,6 @@ QUERIES = {
         lineage_acyclic_trade,
         lineage_acyclic_trade_upward,
         lineage_output_contract,
+        lineage_dependency_lines,
     )
 }

@@ -191,6 +191,32 @@ def row_consumers(spark, sf_dir):
     )
 
 
+def row_tasks(spark, sf_dir):
+    """tasks(task, inputs, outputs) of the rows that others refer to."""
+
+    def of_table(kind, source, key, *inputs):
+        columns = ", ".join(f"{name} long" for name in [key, *[column for _, column in inputs]])
+        read = F.array(*[_path(other, column) for other, column in inputs])
+        declared = F.struct(_name(kind, key).alias("name"), _path(kind, key).alias("path"))
+        return table(spark, sf_dir, source, columns).select(
+            _row(kind, key).alias("task"),
+            read.cast("array<string>").alias("inputs"),
+            F.array(declared).alias("outputs"),
+        )
+
+    return reduce(
+        lambda a, b: a.unionAll(b),
+        [
+            of_table("region", "region", "r_regionkey"),
+            of_table("nation", "nation", "n_nationkey", ("region", "n_regionkey")),
+            of_table("customer", "customer", "c_custkey", ("nation", "c_nationkey")),
+            of_table("supplier", "supplier", "s_suppkey", ("nation", "s_nationkey")),
+            of_table("part", "part", "p_partkey"),
+            of_table("order", "orders", "o_orderkey", ("customer", "o_custkey")),
+        ],
+    )
+
+
 def order_outputs(spark, sf_dir):
     """outputs(task, name, path): an order delivers the parts of its finished lines."""
     return (

@@ -6,7 +6,9 @@ from contextlib import closing
 from locrank.operators.grouping import any_row_per_key
 from locrank.schemas import KEY
 
-# Fixed value: the declared type of the key. The rate takes the dialect's own double type.
+# The table's name and the declared type of its key. The rate takes the dialect's own
+# double type.
+TABLE = "best_recovery_countries"
 COLUMN_TYPES = "location VARCHAR(255)"
 
 
@@ -15,7 +17,7 @@ def rows_to_load(ranking):
     return any_row_per_key(ranking.select(KEY, "recovery_rate"), [KEY])
 
 
-def load_table(ranking, url, table, connect, properties=None):
+def load_table(ranking, url, connect, table=TABLE, properties=None):
     """Replace `table` with the ranking; the old rows stay if anything fails before the swap.
 
     Spark writes the rows over JDBC into a staging table, a partition per transaction. Its count

@@ -203,7 +203,7 @@ def jdbc(spark, monkeypatch):
 def test_load_swaps_after_staging(spark, jdbc):
     recorder = jdbc(staged=2)
     frame = spark.createDataFrame([("a", 0.5), ("b", 0.25)], RANKING)
-    assert load_table(frame, "jdbc:x", "db.best", recorder) == 2
+    assert load_table(frame, "jdbc:x", recorder, "db.best") == 2
     assert recorder.log == [
         "write error",
         "DROP TABLE IF EXISTS db.best",
@@ -219,7 +219,7 @@ def test_load_leaves_the_table_when_counts_differ(spark, jdbc):
     recorder = jdbc(staged=3)
     frame = spark.createDataFrame([("a", 0.5), ("b", 0.25)], RANKING)
     with pytest.raises(RuntimeError, match="staged 3 rows of 2"):
-        load_table(frame, "jdbc:x", "best", recorder)
+        load_table(frame, "jdbc:x", recorder, "best")
     assert recorder.log[1:] == [f"DROP TABLE {recorder.table}", "commit", "close", "close"]
 
 
@@ -227,5 +227,5 @@ def test_load_rolls_back_a_failed_swap(spark, jdbc):
     recorder = jdbc(staged=1, fail_on="ALTER")
     frame = spark.createDataFrame([("a", 0.5)], RANKING)
     with pytest.raises(OSError):
-        load_table(frame, "jdbc:x", "best", recorder)
+        load_table(frame, "jdbc:x", recorder, "best")
     assert recorder.log[-3:] == ["rollback", "close", "close"]
