@@ -8,6 +8,7 @@ from locrank.operators.joins import (
     rows_per_key,
     rows_with_match,
     salted_join,
+    spread_hash,
 )
 from locrank.operators.lineage import (
     consumers_of,
@@ -38,6 +39,7 @@ __all__ = [
     "rows_per_key",
     "rows_with_match",
     "salted_join",
+    "spread_hash",
     "sum_by",
     "top_k",
 ]

@@ -41,29 +41,36 @@ def hot_keys(counted, key, rows_per_salt):
     """
     heaviest = counted.where(F.col(key).isNotNull()).orderBy(F.desc("rows"), key).limit(MAX_HOT_KEYS)
     salts = F.least(F.ceil(F.col("rows") / F.lit(rows_per_salt)), F.lit(MAX_SALTS)).cast("int")
-    return heaviest.where(F.col("rows") > rows_per_salt).select(key, salts.alias("_salts"))
+    return heaviest.where(F.col("rows") > rows_per_salt).select(
+        key, F.col("rows").alias("_rows"), salts.alias("_salts")
+    )
 
 
 def rows_per_key(df, key):
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def salted_join(many, one, key, spread_by, hot, how="inner", hint=None):
+def spread_hash(*columns):
+    return F.xxhash64(*columns)
+
+
+def salted_join(many, one, key, spread, hot, how="inner", hint=None):
     """The rows of a join on `key`, with the rows of each hot key spread over several tasks.
 
     `hot` comes from hot_keys. For joins whose skew adaptive execution does not split: it looks at
     bytes, not at the pairs a key has, and splits only where both sides come straight from a shuffle
-    of the join, not where one side was aggregated by the key before. The salt is a hash of
-    `spread_by`, so a task that runs again after a lost executor places its rows as before; rows of
-    `one` are repeated for hot keys only, so `how` may also be left, left_semi or left_anti.
+    of the join, not where one side was aggregated by the key before. The salt is taken from
+    `spread`, a whole number of the row of `many` such as spread_hash of its other columns, so a
+    task that runs again after a lost executor places its rows as before; `spread` may use the
+    rows of the key as `_rows`. Rows of `one` are repeated for hot keys only, so `how` may also be
+    left, left_semi or left_anti. The result keeps the salt as `_salt`.
     """
     hot = F.broadcast(hot)
     salts = F.coalesce("_salts", F.lit(1))
-    left = many.join(hot, key, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread_by), salts).cast("int")
-    )
+    salt = F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(F.pmod(spread, F.col("_salts")))
+    left = many.join(hot, key, "left").withColumn("_salt", salt.cast("int"))
     right = one.join(hot, key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
-    left, right = left.drop("_salts"), right.drop("_salts")
-    return left.join(right.hint(hint) if hint else right, [key, "_salt"], how).drop("_salt")
+    left, right = left.drop("_rows", "_salts"), right.drop("_rows", "_salts")
+    return left.join(right.hint(hint) if hint else right, [key, "_salt"], how)

@@ -17,6 +17,7 @@ from locrank.operators import (
     producers_of,
     rows_per_key,
     salted_join,
+    spread_hash,
 )
 from locrank.plans import flow, star
 from locrank.plans.dependencies import dependency_lines
@@ -47,7 +48,8 @@ def observations_with_rates_salted(spark, sf_dir):
     """The salt count starts at few rows per key here, so small tables have salted keys too."""
     daily = observations_daily(spark, sf_dir)
     hot = hot_keys(rows_per_key(daily, KEY), KEY, rows_per_salt=8)
-    return salted_join(daily, snapshot_rates(spark, sf_dir), KEY, ["date"], hot)
+    joined = salted_join(daily, snapshot_rates(spark, sf_dir), KEY, spread_hash("date"), hot)
+    return joined.drop("_salt")
 
 
 def lost_locations(spark, sf_dir):

@@ -8,6 +8,7 @@ from locrank.operators import (
     rows_per_key,
     rows_with_match,
     salted_join,
+    spread_hash,
 )
 
 
@@ -34,7 +35,7 @@ def skewed(spark):
 
 def salted(many, one, rows_per_salt, how="inner"):
     hot = hot_keys(rows_per_key(many, "k"), "k", rows_per_salt)
-    return salted_join(many, one, "k", ["v"], hot, how)
+    return salted_join(many, one, "k", spread_hash("v"), hot, how).drop("_salt")
 
 
 def by_hand(many, one):

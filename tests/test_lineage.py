@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from locrank.operators import (
     consumers_of,
@@ -64,10 +65,26 @@ def test_wide_fan_in_is_split_and_whole(spark):
     assert [(r.part, r.upstreams) for r in lines if r.dst == "small"] == [(0, 100)]
 
 
-def test_lines_of_a_wide_task_are_built_in_several_partitions(spark):
-    edges = spark.range(5000).selectExpr("cast(id as string) as src", "concat('w', id % 1) as dst")
-    plan = fan_in(edges, chunk=100)._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"Exchange hashpartitioning\(dst#\d+, part#\d+", plan)
+def test_lines_of_a_hot_task_are_built_in_several_partitions(spark, settings):
+    """The salts change where a line is built, and nothing else."""
+    settings("spark.sql.adaptive.enabled", "false")
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 700))
+    edges = spark.range(6000).select(F.col("id").cast("string").alias("src"), hot.alias("dst"))
+    plain, salted = fan_in(edges, chunk=50), fan_in(edges, chunk=50, rows_per_salt=100)
+    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+
+    def partitions(lines):
+        return lines.where("dst = 'hot'").select(F.spark_partition_id()).distinct().count()
+
+    assert (partitions(plain), partitions(salted) > 4) == (1, True)
+
+
+def test_lines_need_no_shuffle_after_the_join(spark, settings):
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    edges = spark.range(100).selectExpr("cast(id as string) as src", "concat('w', id % 7) as dst")
+    plan = fan_in(edges)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("SortMergeJoin")[0]
 
 
 def test_contract(spark):
