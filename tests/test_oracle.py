@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from locrank.plans.oracle import ORACLE
+from locrank.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -38,13 +40,15 @@ def _sorted_rows(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, oracle, name):
-    frame = entry_point.queries()[name](spark, SF_DIR)
-    expected = oracle.execute(entry_point.oracle_sql()[name])
+    frame = QUERIES[name](spark, SF_DIR)
+    expected = oracle.execute(ORACLE[name])
     columns = [part[0] for part in expected.description]
     expected_rows = _sorted_rows(columns, expected.fetchall())
     assert sorted(frame.columns) == sorted(columns)
