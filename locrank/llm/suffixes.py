@@ -29,12 +29,12 @@ GRAM = 32
 BUFFER = 1 << 20
 #: Most strings of a snippet, which only periodic text reaches.
 MAX_STRINGS = 512
-#: Bytes of one shard, and of the shards that are merged at once.
-SHARD, MERGED = 1 << 18, 1 << 20
+#: Bytes of one shard, and of the shards that are merged at once; up to 2^16, ranks and codes take 16 bits.
+SHARD, MERGED = 1 << 14, 60_000
 #: Snippet bytes under one key beyond which its strings are compared one by one over all tasks.
-HOT_BYTES = 3 << 19
-#: Bytes that a refinement step adds to the context.
-STEP = 8
+HOT_BYTES = 1 << 18
+#: Bytes that a refinement step adds to the context at most, a power of two.
+STEP = 32
 
 #: Ends a snippet; this byte does not occur in UTF-8.
 _SENTINEL = 0xFF
@@ -132,102 +132,127 @@ def _snippet_rows(size, gram):
 # Shards and their merge
 
 
-def _rotations(data, starts, lengths):
-    """For each place of texts with sentinels its text's first place and length."""
-    return np.repeat(starts, lengths), np.repeat(lengths, lengths)
+def _narrow(numbers, most):
+    return numbers.astype(np.uint16 if most < 1 << 16 else np.uint32)
 
 
-def _grams_before(data, base, length, step):
-    """The code of the `step` bytes before each place, going round within its text."""
-    places = np.arange(len(data)) - base
-    code = np.zeros(len(data), np.uint64)
-    for back in range(step, 0, -1):
-        code = (code << np.uint64(8)) | data[base + (places - back) % length]
-    return code
-
-
-def shard_order(data, starts, lengths):
-    """Places of texts with sentinels in the order of their rotations, by prefix doubling."""
-    base, length = _rotations(data, starts, lengths)
-    places = np.arange(len(data)) - base
-    rank, known = data.astype(np.int64), 1
-    while True:
-        pair = (rank << 32) | rank[base + (places + known) % length]
-        order = np.argsort(pair, kind="stable")
-        sorted_pair = pair[order]
-        rank_sorted = np.concatenate([[0], np.cumsum(sorted_pair[1:] != sorted_pair[:-1])])
-        rank = np.empty(len(data), np.int64)
-        rank[order] = rank_sorted
-        known *= 2
-        if known >= lengths.max() or rank_sorted[-1] == len(data) - 1:
-            return order
+def _stable_order(codes, most):
+    """Stable order of codes up to `most`, by one or two passes over 16 bits."""
+    if most < 1 << 16:
+        return np.argsort(codes.astype(np.uint16), kind="stable")
+    order = np.argsort((codes & 0xFFFF).astype(np.uint16), kind="stable")
+    return order[np.argsort((codes >> 16).astype(np.uint16)[order], kind="stable")]
+
+
+class Shard:
+    """Texts of at least `depth` bytes, each ended by a sentinel, and the order of their rotations."""
+
+    def __init__(self, texts, depth):
+        self.data = np.frombuffer(b"".join(text + bytes([_SENTINEL]) for text in texts), np.uint8)
+        self.lengths = np.array([len(text) + 1 for text in texts])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.index = np.arange(len(self.data))
+        self.place = self.index - np.repeat(self.starts, self.lengths)
+        self.length = np.repeat(self.lengths, self.lengths)
+        self.order = self._sorted(depth)
+
+    def _sorted(self, depth):
+        """Places in the order of their rotations' first `depth` bytes, by prefix doubling.
+
+        Which of equal ones comes first is of no account: they stay in one interval.
+        """
+        known = 1
+        rank = self.data
+        while known < depth:
+            after = self.index + known - np.where(self.place + known >= self.length, self.length, 0)
+            later = rank[after]
+            most = int(rank.max())
+            order = _stable_order(later, most)
+            order = order[_stable_order(rank[order], most)]
+            first, second = rank[order], later[order]
+            number = np.cumsum(np.concatenate([[0], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
+            rank = np.empty(len(order), np.uint16 if number[-1] < 1 << 16 else np.uint32)
+            rank[order] = number
+            known *= 2
+        return order
+
+
+def _gram_codes(shards, step):
+    """A number for the `step` bytes before each place, going round within its text; equal for equal grams.
+
+    Grams of up to 8 bytes are numbered as they are, longer ones by the numbers of their halves.
+    """
+    data, place, length = (np.concatenate([getattr(s, name) for s in shards]) for name in ("data", "place", "length"))
+    index = np.arange(len(data))
 
+    def before(values, back):
+        return values[index - back + np.where(place < back, length, 0)]
 
-def _stable_order(codes):
-    """Stable order of codes below 2^32, by two passes over 16 bits."""
-    order = np.argsort((codes & 0xFFFF).astype(np.uint16), kind="stable")
-    high = (codes >> 16).astype(np.uint16)
-    return order if not high.any() else order[np.argsort(high[order], kind="stable")]
+    known = min(8, step)
+    code = np.zeros(len(data), np.uint64)
+    for back in range(known, 0, -1):
+        code = (code << np.uint64(8)) | before(data, back)
+    distinct, code = np.unique(code, return_inverse=True)
+    while known < step:
+        pair = (before(code, known).astype(np.uint64) << np.uint64(32)) | code.astype(np.uint64)
+        distinct, code = np.unique(pair, return_inverse=True)
+        known *= 2
+    return _narrow(code, len(distinct))
 
 
 def merged_blocks(shards, depth):
-    """(shard, place, block, common) in merged order, for (data, starts, lengths) shards.
+    """(shard, place, block, common) in merged order.
 
     block numbers the intervals of rotations that agree in their first `depth` bytes. common is the
-    step in which the boundary before a rotation appeared, 0 within a block: its common prefix with
-    its neighbour is less than `common` bytes and at least STEP less than that.
+    context in which the boundary before a rotation appeared, 0 within a block: its common prefix with
+    its neighbour is shorter than that, and as long as the context before.
     """
-    orders = [shard_order(*shard) for shard in shards]
-    total = sum(len(order) for order in orders)
-    source = np.repeat(np.arange(len(shards)).astype(np.uint16), [len(order) for order in orders])
-    block, common = np.zeros(total, np.int64), np.zeros(total, np.int64)
-    common[0] = 1
-    done, codes, coded = 0, None, 0
+    sizes = [len(shard.order) for shard in shards]
+    offsets, total = np.cumsum([0, *sizes]), sum(sizes)
+    # For each place in the shards' own orders, one shard after the other.
+    places = np.concatenate([shard.order + offset for shard, offset in zip(shards, offsets)])
+    source = np.repeat(_narrow(np.arange(len(shards)), len(shards)), sizes)
+    source = source.astype(np.uint8) if len(shards) <= 256 else source
+    block, common = np.zeros(total, np.int32), np.zeros(total, np.int32)
+    done, coded, edge = 0, 0, np.empty(total, bool)
     while done < depth:
-        step = min(STEP, depth - done)
+        step = min(STEP, 1 << ((depth - done).bit_length() - 1))
         if step != coded:
             # The transform of each shard: the grams before its rotations, in its order.
-            parts = [
-                _grams_before(data, *_rotations(data, starts, lengths), step)[order]
-                for (data, starts, lengths), order in zip(shards, orders)
-            ]
-            codes, coded = np.unique(np.concatenate(parts), return_inverse=True)[1], step
+            transforms, coded = _gram_codes(shards, step)[places], step
+            most = int(transforms.max())
         # The transforms read along the interleave, ...
-        along = np.empty(total, np.int64)
-        along[np.argsort(source, kind="stable")] = codes
+        along = np.empty(total, transforms.dtype)
+        along[np.argsort(source, kind="stable")] = transforms
         # ... and a stable sort by what is before a rotation gives the interleave of longer contexts.
-        order = _stable_order(along)
+        order = _stable_order(along, most)
         moved, before = along[order], block[order]
-        edge = np.concatenate([[True], (moved[1:] != moved[:-1]) | (before[1:] != before[:-1])])
+        edge[0] = True
+        np.logical_or(moved[1:] != moved[:-1], before[1:] != before[:-1], out=edge[1:])
         done += step
-        source, block = source[order], np.cumsum(edge) - 1
-        common = np.where(edge, done, 0)
-    place = np.empty(total, np.int64)
-    place[np.argsort(source, kind="stable")] = np.concatenate(orders)
-    return source, place, block, common
+        source, block = source[order], np.cumsum(edge, dtype=np.int32) - 1
+        # Longer contexts divide the intervals where they lie, so a boundary stays where it appeared.
+        common[edge & (common == 0)] = done
+    merged = np.empty(total, np.int64)
+    merged[np.argsort(source, kind="stable")] = np.concatenate([shard.order for shard in shards])
+    return source, merged, block, common
 
 
 def repeated_strings(texts, size, shard_bytes=SHARD):
     """For each of distinct texts the [from, to) ranges of its strings that occur elsewhere in texts."""
-    shards, numbers, held = [], [], 0
-    for number, text in enumerate(texts):
+    shards, held = [], 0
+    for text in texts:
         if not shards or held + len(text) >= shard_bytes:
             shards.append([])
-            numbers.append([])
             held = 0
         shards[-1].append(text)
-        numbers[-1].append(number)
         held += len(text) + 1
-    built = []
-    for shard in shards:
-        lengths = np.array([len(text) + 1 for text in shard])
-        data = np.frombuffer(b"".join(text + bytes([_SENTINEL]) for text in shard), np.uint8)
-        built.append((data, np.cumsum(lengths) - lengths, lengths))
+    built = [Shard(shard, size) for shard in shards]
     source, place, block, _ = merged_blocks(built, size)
     # Only strings that end before the sentinel count.
-    offsets = np.cumsum([0, *(len(data) for data, _, _ in built)])
-    starts = np.concatenate([starts + offset for (_, starts, _), offset in zip(built, offsets)])
-    lengths = np.concatenate([lengths for _, _, lengths in built])
+    offsets = np.cumsum([0, *(len(shard.data) for shard in built)])
+    starts = np.concatenate([shard.starts + offset for shard, offset in zip(built, offsets)])
+    lengths = np.concatenate([shard.lengths for shard in built])
     place = place + offsets[source]
     text = np.searchsorted(starts, place, "right") - 1
     inside = place - starts[text] + size < lengths[text]
