@@ -11,7 +11,7 @@ import heapq
 import numpy as np
 
 #: Units of the state.
-UNITS = 16
+UNITS = 12
 #: Steps of a window and streams side by side, in training and in scoring.
 TRAIN_STEPS, TRAIN_STREAMS, SCORE_STEPS, SCORE_STREAMS = 16, 256, 32, 1024
 
@@ -48,7 +48,7 @@ def initial(counts, starts, units=UNITS):
     p, draw = unpack(vector, shapes), np.random.default_rng(5)
     p["x"][:] = draw.normal(0, 0.1, p["x"].shape)
     p["u"][:] = draw.normal(0, 1 / np.sqrt(units), p["u"].shape)
-    p["bo"][:] = np.log(counts)
+    p["bo"][:] = np.log(counts / np.repeat(np.add.reduceat(counts, starts[:-1]), np.diff(starts)))
     p["bc"][:] = np.log(np.add.reduceat(counts, starts[:-1]) / counts.sum())
     return vector
 
@@ -128,43 +128,54 @@ def _forward(p, read, start, state, keep=None):
     return states
 
 
+#: Logits are kept within these bounds, where exponentials of single precision cannot overflow.
+MOST = 60
+
+
 def _softmax(logits):
-    logits -= logits.max(axis=1, keepdims=True)
+    """Exponentials of logits, and their sums by row."""
+    np.clip(logits, -MOST, MOST, out=logits)
     np.exp(logits, out=logits)
-    return logits, logits @ np.ones((logits.shape[1], 1), np.float32)
+    return logits, logits @ np.ones(logits.shape[1], np.float32)
 
 
 def _outputs(p, states, target, starts, class_of, grad=None):
     """Natural log probabilities of targets; with grad also the gradient of their negative sum."""
-    flat, wanted = states.reshape(-1, states.shape[-1]), target.ravel()
+    wanted = target.ravel()
     classes = class_of[wanted]
+    # Rows of one class lie together.
+    order = np.argsort(classes, kind="stable")
+    flat, wanted, classes = states.reshape(-1, states.shape[-1])[order], wanted[order], classes[order]
+    edges = np.searchsorted(classes, np.arange(len(starts))).tolist()
     rows = np.arange(len(flat))
     prob, total = _softmax(flat @ p["wc"] + p["bc"])
-    logp = np.log(prob[rows, classes] / total[:, 0])
+    likely = prob[rows, classes] / total
     back = None
     if grad is not None:
-        prob /= total
+        prob /= total[:, None]
         prob[rows, classes] -= 1
         grad["wc"] += flat.T @ prob
         grad["bc"] += prob.sum(axis=0)
         back = prob @ p["wc"].T
-    order = np.argsort(classes, kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(len(starts)))
     for k in range(len(starts) - 1):
-        lo, hi = starts[k], starts[k + 1]
-        if edges[k] == edges[k + 1] or hi - lo == 1:
+        lo, hi, a, b = starts[k], starts[k + 1], edges[k], edges[k + 1]
+        if a == b or hi - lo == 1:
             continue
-        of_class = order[edges[k] : edges[k + 1]]
-        held, own = flat[of_class], wanted[of_class] - lo
+        held, own, inside = flat[a:b], wanted[a:b] - lo, rows[: b - a]
         prob, total = _softmax(held @ p["wo"][lo:hi].T + p["bo"][lo:hi])
-        inside = np.arange(len(own))
-        logp[of_class] += np.log(prob[inside, own] / total[:, 0])
+        likely[a:b] *= prob[inside, own] / total
         if grad is not None:
-            prob /= total
+            prob /= total[:, None]
             prob[inside, own] -= 1
             grad["wo"][lo:hi] += prob.T @ held
             grad["bo"][lo:hi] += prob.sum(axis=0)
-            back[of_class] += prob @ p["wo"][lo:hi]
+            back[a:b] += prob @ p["wo"][lo:hi]
+    logp = np.empty(len(flat))
+    logp[order] = np.log(likely.astype(np.float64))
+    if grad is not None:
+        scattered = np.empty_like(back)
+        scattered[order] = back
+        back = scattered
     return logp, back
 
 
@@ -221,7 +232,7 @@ def train(vector, documents, starts, class_of, start_symbol, optimizer, units=UN
         kept = []
         states = _forward(p, read, start, state, kept)
         _, back = _outputs(p, states, target, starts, class_of, grad)
-        _backward(p, grad, read, start, kept, back.reshape(states.shape).astype(np.float32))
+        _backward(p, grad, read, start, kept, back.reshape(states.shape))
         state = states[-1]
         gradient /= target.size
         done += target.size

@@ -6,25 +6,27 @@ every word has a probability. The network sees every training document: tasks tr
 share from the same parameters, and the parameters are averaged after each round.
 """
 
-from collections import Counter
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from locrank.llm import gru
-from locrank.llm.words import column_bytes, keep, spaced_words
+from locrank.llm.words import keep
 
 #: Words that are symbols, and classes they are put into by frequency.
-SYMBOLS, CLASSES = 2048, 32
+SYMBOLS, CLASSES = 1024, 24
 #: Words whose counts every task holds, 32 MB; counts of rarer ones are joined.
 MAX_WORDS = 1 << 21
-#: Bytes of text that a task counts or encodes at once, and symbols it trains on or scores at once.
-TEXT_BYTES, SYMBOLS_AT_ONCE = 8_000_000, 1_000_000
+#: Bytes of text that a task counts or encodes at once, and symbols that it trains on or scores.
+COUNTED_BYTES, ENCODED_BYTES, SYMBOLS_AT_ONCE = 32_000_000, 4_000_000, 1_000_000
+#: Symbols after which a training document is divided, so that streams are of nearly equal length.
+TRAIN_SYMBOLS = 2048
 #: Steps of the optimizer in each round; a round has a share of the training documents.
 RATES = (0.01, 0.008, 0.005, 0.003)
 #: Parameters per row while they are averaged, and rows that one task adds up at first.
@@ -36,23 +38,43 @@ END = b"\n"
 _SHAPES = 8
 
 
-def shape(word):
+def shapes(words):
     """What words that are no symbols have in common: last character, length and script."""
-    return (word[-1:] in (b".", b",", b":", b";", b"!", b"?")) + 2 * (len(word) > 6) + 4 * (not word.isascii())
-
-
-def _words(text):
-    return [*spaced_words(text.lower()), END]
+    if not len(words):
+        return np.zeros(0, np.int64)
+    ends = np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False), dtype=np.int64)
+    starts = np.concatenate([[0], ends[:-1]])
+    data = np.frombuffer(b"".join(words.to_pylist()), np.uint8)
+    stop = np.isin(data[ends - 1], np.frombuffer(b".,:;!?", np.uint8))
+    wide = np.maximum.reduceat(data, starts) >= 0x80
+    return stop + 2 * (ends - starts > 6) + 4 * wide
+
+
+def _numbered(texts):
+    """(words, flat, sizes) of a string array: the distinct words, the word numbers of all texts one
+    after the other, each text followed by its end, and how many numbers a text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, row = lists.flatten(), pc.list_parent_indices(lists)
+    real = pc.not_equal(pc.binary_length(words), 0)
+    coded = words.filter(real).dictionary_encode()
+    distinct = pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([END])])
+    sizes = np.bincount(row.filter(real).to_numpy(zero_copy_only=False), minlength=len(texts)) + 1
+    flat = np.full(sizes.sum(), len(distinct) - 1)
+    inside = np.ones(len(flat), bool)
+    inside[np.cumsum(sizes) - 1] = False
+    flat[inside] = coded.indices.to_numpy(zero_copy_only=False)
+    return distinct, flat, sizes
 
 
 def _parts(batch, size):
-    """Slices of an Arrow batch with about `size` bytes of text, and the texts."""
-    texts, start, held = column_bytes(batch, "text"), 0, 0
-    for row, text in enumerate(texts):
-        held += len(text)
-        if held >= size or row == len(texts) - 1:
-            yield batch.slice(start, row + 1 - start), texts[start : row + 1]
-            start, held = row + 1, 0
+    """Slices of an Arrow batch with about `size` bytes of text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        done = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
+        yield batch.slice(start, end - start)
+        start = end
 
 
 def held_out(doc_id):
@@ -64,20 +86,12 @@ def word_counts(texts):
     """word, shape, n, h of the words and ends of texts(text)."""
 
     def scan(batches):
-        counts = Counter()
         for batch in batches:
-            for _, part in _parts(batch, TEXT_BYTES):
-                for text in part:
-                    counts.update(_words(text))
-                if len(counts) >= 400_000:
-                    yield to_batch(counts)
-                    counts = Counter()
-        yield to_batch(counts)
-
-    def to_batch(counts):
-        columns = [[w.decode() for w in counts], [shape(w) for w in counts], list(counts.values())]
-        kinds = [pa.string(), pa.int32(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["word", "shape", "n"])
+            for part in _parts(batch, COUNTED_BYTES):
+                words, flat, _ = _numbered(part.column("text"))
+                columns = [words.cast(pa.string()), pa.array(shapes(words), pa.int32())]
+                columns.append(pa.array(np.bincount(flat, minlength=len(words)), pa.int64()))
+                yield pa.RecordBatch.from_arrays(columns, names=["word", "shape", "n"])
 
     rows = texts.mapInArrow(scan, "word string, shape int, n long")
     counts = rows.groupBy("word", "shape").agg(F.sum("n").alias("n"))
@@ -97,11 +111,11 @@ class Vocabulary:
         symbols.sort(key=lambda s: (-s[0], s[1]))
         self.symbols = {word: k for k, (_, word) in enumerate(symbols)}
         self.start = self.symbols[END]
-        shapes = {row["shape"]: (row.n, row.words) for row in self._by_shape(counts)}
-        mass = [shapes.get(s, (0, 0)) for s in range(_SHAPES)]
-        for n, word in symbols:
+        by_shape = {row["shape"]: (row.n, row.words) for row in self._by_shape(counts)}
+        mass = [by_shape.get(s, (0, 0)) for s in range(_SHAPES)]
+        for (n, _), s in zip(symbols, shapes(pa.array([word for _, word in symbols])).tolist()):
             if n:
-                mass[shape(word)] = (mass[shape(word)][0] - n, mass[shape(word)][1] - 1)
+                mass[s] = (mass[s][0] - n, mass[s][1] - 1)
         # Each shape has room for one word that was not seen.
         self.mass = np.array([n + ALPHA * (words + 1) for n, words in mass])
         frequency = np.concatenate([[n + ALPHA for n, _ in symbols], self.mass])
@@ -148,8 +162,8 @@ class Vocabulary:
 
 
 def _look_up(known, words):
-    """log10(count + ALPHA) and whether the word is known, for distinct words."""
-    hashes = np.fromiter((xxhash.xxh64_intdigest(word, 42) for word in words), np.uint64, len(words)).view(np.int64)
+    """log10(count + ALPHA) and whether the word is known, for a list of distinct words."""
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(42)), np.uint64, len(words)).view(np.int64)
     at = np.minimum(np.searchsorted(known["hashes"], hashes), max(0, len(known["hashes"]) - 1))
     found = known["hashes"][at] == hashes if len(known["hashes"]) else np.zeros(len(words), bool)
     if not known["complete"]:
@@ -164,39 +178,40 @@ def encoded(docs, vocabulary):
     log10 of the mass of their shape. Words in rare are missing from both, and from n_known.
     """
     names = ["n_tokens", "n_known", "log_sum", "tail_sum", "symbols", "rare"]
-    rare_type = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64()), ("tail", pa.int64())]))
+
+    def unknown(flat, sizes, found, tail, distinct):
+        """The words of each document that are not found, with their numbers."""
+        at = np.flatnonzero(~found[flat])
+        pairs, times = np.unique(np.repeat(np.arange(len(sizes)), sizes)[at] * len(distinct) + flat[at], return_counts=True)
+        row, word = np.divmod(pairs, len(distinct))
+        words = distinct.take(pa.array(word)).cast(pa.string())
+        fields = [words, pa.array(times, pa.int64()), pa.array(tail[word].astype(np.int64))]
+        offsets = pa.array(np.searchsorted(row, np.arange(len(sizes) + 1)), pa.int32())
+        return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(fields, names=["word", "n", "tail"]))
 
     def scan(batches):
         known = vocabulary.value
         symbols, mass, base = known["symbols"], np.log10(known["mass"]), len(known["symbols"])
         for batch in batches:
-            for rows, texts in _parts(batch, TEXT_BYTES):
-                split = [_words(text) for text in texts]
-                number = {word: k for k, word in enumerate(set().union(*split))}
-                distinct = list(number)
+            for rows in _parts(batch, ENCODED_BYTES):
+                words, flat, sizes = _numbered(rows.column("text"))
+                distinct = words.to_pylist()
                 logs, found = _look_up(known, distinct)
-                code = np.fromiter((symbols.get(w, -1) for w in distinct), np.int64, len(distinct))
-                shapes = np.fromiter((shape(w) for w in distinct), np.int64, len(distinct))
+                code = np.fromiter(map(symbols.get, distinct, repeat(-1)), np.int64, len(distinct))
+                of_shape = shapes(words)
                 tail = code < 0
-                code = np.where(tail, base + shapes, code)
-                tail_logs = np.where(tail, logs - mass[shapes], 0.0)
-                sizes = np.array([len(words) for words in split])
-                flat = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int64, sizes.sum())
+                code = np.where(tail, base + of_shape, code)
+                tail_logs = np.where(tail, logs - mass[of_shape], 0.0)
                 starts = np.cumsum(sizes) - sizes
                 coded, ends = code[flat].astype("<u2"), np.cumsum(sizes)
-                rare = [[] for _ in split]
-                if not known["complete"] and not found.all():
-                    for row, words in enumerate(split):
-                        part = flat[starts[row] : ends[row]]
-                        for k, n in Counter(part[~found[part]].tolist()).items():
-                            rare[row].append({"word": distinct[k].decode(), "n": n, "tail": int(tail[k])})
+                asked = np.ones(len(distinct), bool) if known["complete"] else found
                 values = [
                     pa.array(sizes, pa.int64()),
                     pa.array(np.add.reduceat(found[flat].astype(np.int64), starts), pa.int64()),
                     pa.array(np.add.reduceat(logs[flat], starts), pa.float64()),
                     pa.array(np.add.reduceat(tail_logs[flat], starts), pa.float64()),
                     pa.array([coded[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-                    pa.array(rare, rare_type),
+                    unknown(flat, sizes, asked, tail, words),
                 ]
                 keys = [rows.column(name) for name in ("doc_id", "text_key", "held_out")]
                 yield pa.RecordBatch.from_arrays([*keys, *values], names=["doc_id", "text_key", "held_out", *names])
@@ -209,16 +224,19 @@ def encoded(docs, vocabulary):
     return docs.mapInArrow(scan, layout)
 
 
-def _portions(batches, size):
-    """(rows, documents) with about `size` symbols."""
-    for batch in batches:
-        start, held, documents = 0, 0, []
-        for row, symbols in enumerate(batch.column("symbols").to_pylist()):
-            documents.append(np.frombuffer(symbols, "<u2"))
-            held += len(documents[-1])
-            if held >= size or row == batch.num_rows - 1:
-                yield batch.slice(start, row + 1 - start), documents
-                start, held, documents = row + 1, 0, []
+def _documents(batch):
+    return [np.frombuffer(symbols, "<u2") for symbols in batch.column("symbols").to_pylist()]
+
+
+def _portions(documents, size):
+    """Runs of documents with about `size` symbols."""
+    ends = np.cumsum([len(document) for document in documents])
+    start = 0
+    while start < len(documents):
+        done = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
+        yield documents[start:end]
+        start = end
 
 
 def _trained(known, parameters, rate):
@@ -227,8 +245,10 @@ def _trained(known, parameters, rate):
     def scan(batches):
         words, vector = known.value, parameters.value.copy()
         optimizer, seen = gru.Adam(vector, rate), 0
-        for _, documents in _portions(batches, SYMBOLS_AT_ONCE):
-            seen += gru.train(vector, documents, words["starts"], words["class_of"], words["start"], optimizer)
+        for batch in batches:
+            pieces = [d[at : at + TRAIN_SYMBOLS] for d in _documents(batch) for at in range(0, len(d), TRAIN_SYMBOLS)]
+            for part in _portions(pieces, SYMBOLS_AT_ONCE):
+                seen += gru.train(vector, part, words["starts"], words["class_of"], words["start"], optimizer)
         if seen:
             weighted = vector.astype("<f8") * seen
             parts = [weighted[at : at + CHUNK].tobytes() for at in range(0, len(weighted), CHUNK)]
@@ -271,9 +291,16 @@ def _scored(known, parameters):
 
     def scan(batches):
         words, vector = known.value, parameters.value
-        for rows, documents in _portions(batches, SYMBOLS_AT_ONCE):
-            logs = gru.score(vector, documents, words["starts"], words["class_of"], words["start"]) / np.log(10)
-            columns = [*(rows.column(name) for name in names), pa.array(logs, pa.float64())]
+        for batch in batches:
+            # Documents of like length run side by side.
+            documents = _documents(batch)
+            order = sorted(range(len(documents)), key=lambda k: len(documents[k]))
+            logs, done = np.empty(len(documents)), 0
+            for part in _portions([documents[k] for k in order], SYMBOLS_AT_ONCE):
+                found = gru.score(vector, part, words["starts"], words["class_of"], words["start"])
+                logs[order[done : done + len(part)]] = found / np.log(10)
+                done += len(part)
+            columns = [*(batch.column(name) for name in names), pa.array(logs, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "network"])
 
     return scan
