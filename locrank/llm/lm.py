@@ -24,7 +24,7 @@ SYMBOLS, CLASSES = 1024, 24
 #: Words whose counts every task holds, 32 MB; counts of rarer ones are joined.
 MAX_WORDS = 1 << 21
 #: Bytes of text that a task counts or encodes at once, and symbols that it trains on or scores.
-COUNTED_BYTES, ENCODED_BYTES, SYMBOLS_AT_ONCE = 32_000_000, 4_000_000, 1_000_000
+COUNTED_BYTES, ENCODED_BYTES, SYMBOLS_AT_ONCE = 16_000_000, 4_000_000, 1_000_000
 #: Symbols after which a training document is divided, so that streams are of nearly equal length.
 TRAIN_SYMBOLS = 2048
 #: Steps of the optimizer in each round; a round has a share of the training documents.
@@ -59,7 +59,7 @@ def _numbered(texts):
     coded = words.filter(real).dictionary_encode()
     distinct = pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([END])])
     sizes = np.bincount(row.filter(real).to_numpy(zero_copy_only=False), minlength=len(texts)) + 1
-    flat = np.full(sizes.sum(), len(distinct) - 1)
+    flat = np.full(sizes.sum(), len(distinct) - 1, np.int32)
     inside = np.ones(len(flat), bool)
     inside[np.cumsum(sizes) - 1] = False
     flat[inside] = coded.indices.to_numpy(zero_copy_only=False)
