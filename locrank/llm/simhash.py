@@ -142,7 +142,8 @@ def links(weights, radius=4, block=BLOCK):
     rank = F.col("n") + F.col("fp").bitwiseAND(F.lit(0xFFFFFF)) / float(1 << 24)
     pivots = placed.groupBy("bucket").agg(F.count("*").alias("size"), F.max_by("fp", rank).alias("pivot"))
     pivots = keep(pivots.where("size > 1"), "simhash-pivots")
-    members = placed.select("bucket", "fp").join(pivots, "bucket")
+    # Pivots grow with the corpus: a merge join at every size, whose hot buckets Spark splits.
+    members = placed.select("bucket", "fp").join(pivots.hint("merge"), "bucket")
     members = keep(members.withColumn("is_far", _apart("fp", "pivot") > radius), "simhash-members")
 
     to_pivot = members.where("not is_far and fp <> pivot").select(F.col("fp").alias("a"), F.col("pivot").alias("b"))
