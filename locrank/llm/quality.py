@@ -207,11 +207,11 @@ def judged(docs):
     best, groups = minimum_covariance(vectors)
     best = keep(best, "quality-best")
     pairs = features.select("lang", "source").distinct()
-    pairs = pairs.select(_group("lang", "source").alias("g2"), _group("lang").alias("g1"), _group().alias("g0"))
-    for level in ("g2", "g1", "g0"):
-        one = best.select(F.col("g").alias(level), F.struct("mu", "precision").alias(f"e{level}"))
-        pairs = pairs.join(_bounded(one, groups), level, "left")
-    chosen = pairs.select("g2", F.coalesce("eg2", "eg1", "eg0").alias("e"))
+    levels = F.array(_group("lang", "source"), _group("lang"), _group())
+    pairs = pairs.select(_group("lang", "source").alias("g2"), F.posexplode(levels).alias("level", "g"))
+    finest = F.min_by(F.struct("mu", "precision"), "level").alias("e")
+    chosen = pairs.join(_bounded(best, groups), "g").groupBy("g2").agg(finest)
+    chosen = pairs.select("g2").distinct().join(chosen, "g2", "left")
     chosen = keep(chosen.select("g2", "e.mu", "e.precision"), "quality-chosen")
     joined = features.withColumn("g2", _group("lang", "source")).join(_bounded(chosen, chosen.count()), "g2")
     joined = joined.withColumn("distance", _distance())
