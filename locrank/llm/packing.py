@@ -6,20 +6,24 @@ capacity, each as a share of its limit, is placed next.
 """
 
 import os
+import re
+import sys
+import types
+from array import array
+from itertools import chain, islice
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from locrank.llm.words import column_bytes
-
 #: Tokens a task holds while it packs; about 16 MB.
 POOL_TOKENS = 2_000_000
-#: Words whose ids a task remembers; about 60 MB.
-CACHED_WORDS = 300_000
+#: Words, and parts of words, whose ids a task remembers; about 150 MB.
+CACHED_WORDS = 400_000
 #: Bytes of text tokenized at a time.
 TEXT_BYTES = 8_000_000
 
@@ -34,7 +38,15 @@ class Limits(NamedTuple):
 
 
 class WordTokenizer:
-    """Ids of texts, word by word: the tokenizer's own rules never join text across white space."""
+    """Ids of texts, word by word: the tokenizer's own rules never join text across white space.
+
+    Words are divided further where its rules surely divide them, between letters, digits and other
+    characters, so that fewer distinct strings have to be tokenized.
+    """
+
+    _RUNS = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+    #: Parts that are tokenized in one text.
+    _JOINED = 100
 
     def __init__(self, path, end_id):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -42,27 +54,74 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = np.array([end_id], "<u4").tobytes()
-        self.ids = {}
+        self.words, self.parts = {}, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+
+    @classmethod
+    def divided(cls, word):
+        """Parts of a word that the tokenizer takes one by one, or None where that is not sure:
+        apostrophes and special tokens join others, accents may be composed."""
+        if word.isascii():
+            return None if b"'" in word or b"<" in word else cls._RUNS.findall(word.lower())
+        letters = word.rstrip(b",.;:!?")
+        if not letters.decode().lower().isalpha():
+            return None
+        return [letters, word[len(letters) :]] if letters != word else [word]
+
+    def _learn_parts(self, parts):
+        """Ids of parts, told from each other in a joint text by the mark of a last token."""
+        groups = [parts[at : at + self._JOINED] for at in range(0, len(parts), self._JOINED)]
+        coded = self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)
+        for group, code in zip(groups, coded):
+            ids = np.array(code.ids, "<u4")
+            ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
+            if len(ends) == len(group):
+                data = ids.tobytes()
+                self.parts.update(zip(group, [data[a:b] for a, b in zip([0, *ends], ends)]))
+            else:
+                self._learn_alone(group, self.parts)
+
+    def _learn_alone(self, words, into):
+        coded = self.tokenizer.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
+        into.update((word, array("I", code.ids).tobytes()) for word, code in zip(words, coded))
 
-    @staticmethod
-    def words(text):
-        # Case is dropped by the tokenizer too, but only after special tokens have been found and
-        # accents composed, so words are brought together only where neither can matter.
-        return (text.lower() if text.isascii() and b"<|" not in text else text).split()
+    def _learn(self, words):
+        """Ids of words that are not known yet."""
+        divided = list(map(self.divided, words))
+        self._learn_alone([word for word, parts in zip(words, divided) if parts is None], self.words)
+        pairs = [(word, parts) for word, parts in zip(words, divided) if parts is not None]
+        self._learn_parts(list(set(chain.from_iterable(parts for _, parts in pairs)).difference(self.parts)))
+        known = self.parts
+        self.words.update((word, b"".join([known[part] for part in parts])) for word, parts in pairs)
 
     def encode(self, texts):
-        """Ids of each text as little-endian unsigned 32-bit numbers, without the end id."""
-        split = [self.words(text) for text in texts]
-        new = list(set().union(*split).difference(self.ids)) if split else []
-        coded = self.tokenizer.encode_batch_fast([word.decode() for word in new], add_special_tokens=False)
-        fresh = {word: np.array(code.ids, "<u4").tobytes() for word, code in zip(new, coded)}
-        if len(self.ids) + len(fresh) <= CACHED_WORDS:
-            self.ids |= fresh
-            known = self.ids.__getitem__
-        else:
-            cached = self.ids
-            known = lambda word: cached[word] if word in cached else fresh[word]
-        return [b"".join(map(known, words)) for words in split]
+        """Ids of each text of a string array as little-endian unsigned 32-bit numbers, without the end id."""
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        strings, row = lists.flatten(), pc.list_parent_indices(lists)
+        real = pc.not_equal(pc.binary_length(strings), 0)
+        coded = strings.filter(real).dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        self._learn([word for word in words if word not in self.words])
+        ids = [self.words[word] for word in words]
+        flat, sizes = coded.indices.to_numpy(zero_copy_only=False), np.bincount(row.filter(real), minlength=len(texts))
+        joined = pa.array(ids, pa.binary()).take(pa.array(flat))
+        ends = np.frombuffer(joined.buffers()[1], np.int32)[: len(joined) + 1][np.concatenate([[0], np.cumsum(sizes)])]
+        data = joined.buffers()[2].to_pybytes() if len(joined) else b""
+        for known in (self.words, self.parts):
+            if len(known) > CACHED_WORDS:  # the first to come are the most frequent
+                for word in list(islice(known, CACHED_WORDS, None)):
+                    del known[word]
+        return [data[start:end] for start, end in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+
+def _tokenizer(path, end_id):
+    """The tokenizer of this worker process, which keeps the words it knows from task to task."""
+    kept = sys.modules.setdefault("_tokenizers_of_worker", types.ModuleType("_tokenizers_of_worker")).__dict__
+    if (path, end_id) not in kept:
+        kept[path, end_id] = WordTokenizer(path, end_id)
+    return kept[path, end_id]
 
 
 class Pool:
@@ -140,8 +199,8 @@ class Pool:
 
 def _batches_of_text(batch, size):
     """(from, to) row ranges of about `size` bytes of text."""
-    ends = np.cumsum([len(text) for text in column_bytes(batch, "text")])
-    start = 0
+    lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0)
+    ends, start = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64), 0
     while start < len(ends):
         done = ends[start - 1] if start else 0
         end = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
@@ -184,14 +243,13 @@ def _pack(path, end_id, limits):
             yield rows_to_batch(rows)
 
     def scan(batches):
-        tokenizer, pool = WordTokenizer(path, end_id), Pool(limits)
+        tokenizer, pool = _tokenizer(path, end_id), Pool(limits)
         number = [TaskContext.get().partitionId() << 33]
         for batch in batches:
             key_type[0] = batch.schema.field("doc_id").type
             for start, end in _batches_of_text(batch, TEXT_BYTES):
                 part = batch.slice(start, end - start)
-                prompts = tokenizer.encode(column_bytes(part, "prompt"))
-                texts = tokenizer.encode(column_bytes(part, "text"))
+                prompts, texts = (tokenizer.encode(part.column(name)) for name in ("prompt", "text"))
                 for key, prompt, text in zip(part.column("doc_id").to_pylist(), prompts, texts):
                     ids = np.frombuffer(prompt + text + tokenizer.end, "<u4")
                     pool.put((key, 0, ids, len(prompt) // 4, len(ids)))
