@@ -9,8 +9,7 @@ salted_join is for the others.
 
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 1000
-MAX_SALTS = 1024
+from locrank.storage import keep
 
 
 def join_on_key(many, one, key):
@@ -33,15 +32,12 @@ def lost_keys(many, one, key):
 
 
 def hot_keys(counted, key, rows_per_salt):
-    """From the rows per key (key, rows): the heaviest keys and the number of salts each needs.
+    """From the rows per key (key, rows): keys with more than rows_per_salt rows, and their salts.
 
-    At most MAX_HOT_KEYS rows whatever the input: any key left out holds less than one
-    thousandth of it. The order is total, so every evaluation gives the same rows, which a join
-    that evaluates this once for each side relies on.
+    There are fewer than rows / rows_per_salt such keys, each with as many salts as it needs.
     """
-    heaviest = counted.where(F.col(key).isNotNull()).orderBy(F.desc("rows"), key).limit(MAX_HOT_KEYS)
-    salts = F.least(F.ceil(F.col("rows") / F.lit(rows_per_salt)), F.lit(MAX_SALTS)).cast("int")
-    return heaviest.where(F.col("rows") > rows_per_salt).select(
+    salts = F.ceil(F.col("rows") / F.lit(rows_per_salt)).cast("int")
+    return counted.where(F.col(key).isNotNull() & (F.col("rows") > rows_per_salt)).select(
         key, F.col("rows").alias("_rows"), salts.alias("_salts")
     )
 
@@ -54,7 +50,7 @@ def spread_hash(*columns):
     return F.xxhash64(*columns)
 
 
-def salted_join(many, one, key, spread, hot, how="inner", hint=None):
+def salted_join(many, one, key, spread, hot, how="inner", hint=None, keep_hot=True):
     """The rows of a join on `key`, with the rows of each hot key spread over several tasks.
 
     `hot` comes from hot_keys. For joins whose skew adaptive execution does not split: it looks at
@@ -64,8 +60,12 @@ def salted_join(many, one, key, spread, hot, how="inner", hint=None):
     task that runs again after a lost executor places its rows as before; `spread` may use the
     rows of the key as `_rows`. Rows of `one` are repeated for hot keys only, so `how` may also be
     left, left_semi or left_anti. The result keeps the salt as `_salt`.
+
+    The hot keys are written once and read by both sides, so their salts agree whatever `hot` is
+    computed from; Spark broadcasts them if they are as small as it measures. keep_hot=False is for a
+    table that was written already.
     """
-    hot = F.broadcast(hot)
+    hot = keep(hot, "hot-keys") if keep_hot else hot
     salts = F.coalesce("_salts", F.lit(1))
     salt = F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(F.pmod(spread, F.col("_salts")))
     left = many.join(hot, key, "left").withColumn("_salt", salt.cast("int"))

@@ -94,38 +94,22 @@ def flow_catalog(root, observations_path, snapshot_path):
     )
 
 
-def run_daily(spark, catalog, on_missing="create", scale=None):
+def run_daily(spark, catalog, on_missing="create", scale=None, rules=None):
     observations = catalog.scan(spark, "observations")
-    return publish(daily(observations, scale), catalog["daily"], on_missing)
+    return publish(daily(observations, scale), catalog["daily"], on_missing, rules)
 
 
-def run_joined(spark, catalog, on_missing="create"):
+def run_joined(spark, catalog, on_missing="create", rules=None):
     rated = unique_snapshot(snapshot_rates(catalog.scan(spark, "snapshot")))
     rows = one_row_per_location(read_published(spark, catalog["daily"]), rated)
-    return publish(rows, catalog["joined"], on_missing)
+    return publish(rows, catalog["joined"], on_missing, rules)
 
 
-def run_ranking(spark, catalog, k=RANKING_SIZE, on_missing="create"):
+def run_ranking(spark, catalog, k=RANKING_SIZE, on_missing="create", rules=None):
     rows = ranking(read_published(spark, catalog["joined"]), k)
-    return publish(rows, catalog["ranking"], on_missing)
+    return publish(rows, catalog["ranking"], on_missing, rules)
 
 
 def run_load(spark, catalog, url, connect, **options):
     return load_table(read_published(spark, catalog["ranking"]), url, connect, **options)
 
-
-__all__ = [
-    "clean_observations",
-    "daily",
-    "flow_catalog",
-    "observations_with_rates",
-    "one_row_per_location",
-    "ranking",
-    "ranking_by_match",
-    "run_daily",
-    "run_joined",
-    "run_load",
-    "run_ranking",
-    "snapshot_rates",
-    "unique_snapshot",
-]

@@ -86,26 +86,11 @@ _EDGES = f"""{_OUTPUTS}, {_CONSUMERS}, producers AS (
 _SELECT_EDGES = f"WITH {_EDGES} SELECT src, dst FROM edges"
 
 
-_TASK_EDGES = """edges AS (
-  SELECT 'region ' || n_regionkey AS src, 'nation ' || n_nationkey AS dst
-  FROM nation JOIN region ON n_regionkey = r_regionkey
-  UNION SELECT 'nation ' || c_nationkey, 'customer ' || c_custkey
-        FROM customer JOIN nation ON c_nationkey = n_nationkey
-  UNION SELECT 'nation ' || s_nationkey, 'supplier ' || s_suppkey
-        FROM supplier JOIN nation ON s_nationkey = n_nationkey
-  UNION SELECT 'customer ' || o_custkey, 'order ' || o_orderkey
-        FROM orders JOIN customer ON o_custkey = c_custkey)"""
-
-
-def _fan_in(chunk, edges=_EDGES):
-    return f"""WITH {edges}, counted AS (
-  SELECT dst, count(*) AS n FROM edges GROUP BY dst), parted AS (
-  SELECT e.dst, e.src, CASE WHEN c.n <= {chunk} THEN 0
-         ELSE CAST('0x' || substr(md5(e.src), 1, 8) AS BIGINT)
-              % CAST(ceil(c.n / {chunk}.0) AS BIGINT) END AS part
-  FROM edges e JOIN counted c ON e.dst = c.dst), grouped AS (
-  SELECT dst, part, count(*) AS n, array_to_string(list_sort(list(src)), ', ') AS names
-  FROM parted GROUP BY dst, part)
+def _fan_in(parts=1):
+    return f"""WITH {_EDGES}, grouped AS (
+  SELECT dst, CAST('0x' || substr(md5(src), 1, 8) AS BIGINT) % {parts} AS part, count(*) AS n,
+         array_to_string(list_sort(list(src)), ', ') AS names
+  FROM edges GROUP BY ALL)
 SELECT dst, CAST(part AS INTEGER) AS part, CAST(n AS INTEGER) AS upstreams,
        CASE WHEN n = 1 THEN names ELSE '[' || names || ']' END || ' >> ' || dst AS line
 FROM grouped"""
@@ -166,7 +151,7 @@ ORACLE = {
     "observations_with_rates_salted": _WITH_RATES,
     "lost_locations": f"""WITH {_DAILY}, {_RATED}
 SELECT location, count(*) AS rows FROM daily
-WHERE location NOT IN (SELECT location FROM rated) GROUP BY location""",
+WHERE NOT EXISTS (SELECT 1 FROM rated WHERE rated.location = daily.location) GROUP BY location""",
     "one_row_per_location": f"WITH {_JOINED} SELECT * FROM latest",
     "largest_order_per_location": f"""WITH {_CLEAN}
 SELECT * EXCLUDE (place) FROM (
@@ -178,6 +163,8 @@ SELECT DISTINCT location, "Confirmed", "Deaths", "Recovered", mortality_rate, re
 FROM joined""",
     "top_recovery_semi": f"WITH {_RANKING} SELECT * FROM ranking",
     "csv_scan_roundtrip": f"""WITH {_DAILY}
+SELECT CAST(location AS VARCHAR) AS location, * EXCLUDE (location) FROM daily""",
+    "csv_scan_by_name": f"""WITH {_DAILY}
 SELECT CAST(location AS VARCHAR) AS location, * EXCLUDE (location) FROM daily""",
     "csv_snapshot_scan": f"""WITH {_RATED}
 SELECT CAST(location AS VARCHAR) AS location, "Confirmed",
@@ -191,6 +178,9 @@ FROM rated""",
     "parquet_replace_twice": f"WITH {_DAILY} SELECT * FROM daily",
     "rank_published_csv": f"""WITH {_JOINED}
 SELECT CAST(location AS VARCHAR) AS location, recovery_rate FROM latest
+ORDER BY recovery_rate DESC NULLS LAST, CAST(location AS VARCHAR) LIMIT 40""",
+    "rank_published_checked": f"""WITH {_JOINED}
+SELECT CAST(location AS VARCHAR) AS location, recovery_rate FROM latest
 ORDER BY recovery_rate DESC NULLS LAST, CAST(location AS VARCHAR) LIMIT 40""",
     "load_ready_rows": f"WITH {_RANKING} SELECT * FROM ranking",
     "output_check": f"WITH {_RANKING}"
@@ -208,23 +198,30 @@ ORDER BY recovery_rate DESC NULLS LAST, CAST(location AS VARCHAR) LIMIT 40""",
     + _check("observations", _ALL, ["location"], {"new_deaths": (1000.0, 250000.0)}),
     "lineage_edges": _SELECT_EDGES,
     "lineage_edges_salted": _SELECT_EDGES,
-    "lineage_fan_in": _fan_in(10000),
-    "lineage_fan_in_parts": _fan_in(2),
-    "lineage_dependency_lines": _fan_in(10000, _TASK_EDGES),
+    "lineage_fan_in": _fan_in(),
+    "lineage_fan_in_parts": _fan_in(3),
+    "lineage_dependency_lines": _fan_in(),
     "lineage_acyclic": _acyclic("rows", _ROW_GRAPH, "VARCHAR"),
     "lineage_acyclic_orders": _acyclic("orders", _STOCK_EDGES, "BIGINT"),
     "lineage_acyclic_trade": _acyclic(
         "trade", f"{_TRADE}, graph_edges AS (SELECT src, dst FROM trade)", "INTEGER"
     ),
-    "lineage_acyclic_trade_upward": _acyclic(
-        "upward",
-        f"""{_TRADE}, graph_edges AS (
-  SELECT DISTINCT least(src, dst) AS src, greatest(src, dst) AS dst FROM trade WHERE src <> dst)""",
+    "lineage_acyclic_net_trade": _acyclic(
+        "net trade",
+        """sold AS (
+  SELECT s_nationkey AS src, c_nationkey AS dst, count(*) AS n
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+       JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
+  GROUP BY ALL), graph_edges AS (
+  SELECT a.src, a.dst FROM sold a LEFT JOIN sold b ON a.src = b.dst AND a.dst = b.src
+  WHERE a.n > coalesce(b.n, 0))""",
         "INTEGER",
     ),
-    "lineage_output_contract": """WITH finished AS (
-  SELECT l_orderkey, count(DISTINCT l_partkey) AS n FROM lineitem
-  WHERE l_linestatus = 'F' GROUP BY l_orderkey)
-SELECT o_orderkey AS task, coalesce(n, 0) AS outputs
-FROM orders LEFT JOIN finished ON o_orderkey = l_orderkey WHERE coalesce(n, 0) <> 1""",
+    "lineage_output_contract": """WITH lines AS (
+  SELECT l_orderkey, count(DISTINCT l_partkey || '/' || l_suppkey) FILTER (l_linestatus = 'F') AS n,
+         count(*) FILTER (l_linestatus <> 'F') AS bare
+  FROM lineitem GROUP BY l_orderkey)
+SELECT o_orderkey AS task, coalesce(n, 0) AS outputs, coalesce(bare, 0) AS without_path
+FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey
+WHERE coalesce(n, 0) <> 1 OR coalesce(bare, 0) > 0""",
 }

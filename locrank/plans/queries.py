@@ -22,8 +22,8 @@ from locrank.operators import (
 from locrank.plans import flow, star
 from locrank.plans.dependencies import dependency_lines
 from locrank.schemas import KEY, OBSERVATIONS, SNAPSHOT
-from locrank.sinks import publish, replace_csv, replace_parquet, rows_to_load, scratch_dir
-from locrank.sources import Dataset, read_csv, read_parquet, read_published
+from locrank.sinks import OutputRules, publish, replace_csv, replace_parquet, rows_to_load, scratch_dir
+from locrank.sources import Dataset, read_csv, read_parquet, read_published, read_task_specs
 
 
 def observations_clean(spark, sf_dir):
@@ -93,6 +93,16 @@ def csv_scan_roundtrip(spark, sf_dir):
     return flow.daily(read_csv(spark, path, OBSERVATIONS), star.SCALE)
 
 
+def csv_scan_by_name(spark, sf_dir):
+    """A file with other columns before, between and after those that are read, in another order."""
+    path = scratch_dir(spark, "wide")
+    rows = star.observations(spark, sf_dir)
+    names = sorted(rows.columns)
+    wide = rows.select(F.lit("x").alias("iso_code"), *names[:3], F.lit(1.5).alias("smoothed"), *names[3:])
+    replace_csv(wide.withColumn("note", F.lit("a, b")), path)
+    return flow.daily(read_csv(spark, path, OBSERVATIONS), star.SCALE)
+
+
 def csv_snapshot_scan(spark, sf_dir):
     """Write a snapshot file with CRLF line ends, `inf` texts and an empty column; scan it by schema.
 
@@ -130,15 +140,17 @@ def parquet_replace_twice(spark, sf_dir):
     return read_parquet(spark, path, frame.schema)
 
 
-def _published_ranking(spark, sf_dir):
-    """Run the three stages from CSV files to the published ranking."""
+def _published_ranking(spark, sf_dir, checked=False):
+    """Run the three stages from CSV files to the published ranking, checked before each commit or not."""
     root = scratch_dir(spark, "flow")
     inputs = flow.flow_catalog(root, f"{root}/observations", f"{root}/snapshot")
     replace_csv(star.observations(spark, sf_dir), inputs["observations"].path)
     replace_csv(star.snapshot_file(spark, sf_dir), inputs["snapshot"].path)
-    flow.run_daily(spark, inputs, scale=star.SCALE)
-    flow.run_joined(spark, inputs)
-    flow.run_ranking(spark, inputs)
+    by_day = OutputRules((KEY, "date"), {"total_cases": (0.0, float("inf"))}) if checked else None
+    by_location = OutputRules((KEY,), {"recovery_rate": (0.0, 1.0)}) if checked else None
+    flow.run_daily(spark, inputs, scale=star.SCALE, rules=by_day)
+    flow.run_joined(spark, inputs, rules=by_location)
+    flow.run_ranking(spark, inputs, rules=by_location)
     return read_published(spark, inputs["ranking"])
 
 
@@ -146,6 +158,10 @@ def rank_published_csv(spark, sf_dir):
     return _published_ranking(spark, sf_dir)
 
 
+def rank_published_checked(spark, sf_dir):
+    return _published_ranking(spark, sf_dir, checked=True)
+
+
 def load_ready_rows(spark, sf_dir):
     """The rows a database load would insert."""
     return rows_to_load(top_recovery_locations(spark, sf_dir))
@@ -185,11 +201,12 @@ def lineage_fan_in(spark, sf_dir):
 
 
 def lineage_fan_in_parts(spark, sf_dir):
-    """Two upstreams per line, so that wide tasks appear in small tables."""
-    return fan_in(lineage_edges(spark, sf_dir), chunk=2)
+    """Up to three lines for every task."""
+    return fan_in(lineage_edges(spark, sf_dir), parts=3)
 
 
 def _answer(spark, graph, acyclic):
+    """One row with an answer; the check has run when the frame is built, as it is a loop of jobs."""
     return spark.range(1).select(F.lit(graph).alias("graph"), F.lit(acyclic).alias("acyclic"))
 
 
@@ -210,22 +227,20 @@ def lineage_acyclic_trade(spark, sf_dir):
     return _answer(spark, "trade", is_acyclic(star.trade(spark, sf_dir)))
 
 
-def lineage_acyclic_trade_upward(spark, sf_dir):
-    """Trade between two nations as an edge from the lower key to the higher one."""
-    both = star.trade(spark, sf_dir).where(F.col("src") != F.col("dst"))
-    upward = both.select(
-        F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")
-    )
-    return _answer(spark, "upward", is_acyclic(upward))
+def lineage_acyclic_net_trade(spark, sf_dir):
+    """Can the nations be put in an order in which none sells more to an earlier one than it buys?"""
+    return _answer(spark, "net trade", is_acyclic(star.net_trade(spark, sf_dir)))
 
 
 def lineage_dependency_lines(spark, sf_dir):
-    """Contract, cycle check and fan-in of one table of task specifications."""
-    return dependency_lines(star.row_tasks(spark, sf_dir))
+    """Contract, cycle check and fan-in of task specifications that were written as JSON."""
+    path = scratch_dir(spark, "tasks")
+    star.row_tasks(spark, sf_dir).write.json(path)
+    return dependency_lines(read_task_specs(spark, path))
 
 
 def lineage_output_contract(spark, sf_dir):
-    """Orders that do not deliver exactly one part."""
+    """Orders without exactly one part of a supplier, or with one that has no place yet."""
     orders = star.table(spark, sf_dir, "orders", star.ORDER_COLUMNS)
     tasks = orders.select(F.col("o_orderkey").alias("task"))
     return contract_violations(tasks, star.order_outputs(spark, sf_dir))
@@ -246,10 +261,12 @@ QUERIES = {
         any_row_per_location,
         top_recovery_semi,
         csv_scan_roundtrip,
+        csv_scan_by_name,
         csv_snapshot_scan,
         parquet_publish_twice,
         parquet_replace_twice,
         rank_published_csv,
+        rank_published_checked,
         load_ready_rows,
         output_check,
         output_check_daily,
@@ -261,7 +278,7 @@ QUERIES = {
         lineage_acyclic,
         lineage_acyclic_orders,
         lineage_acyclic_trade,
-        lineage_acyclic_trade_upward,
+        lineage_acyclic_net_trade,
         lineage_output_contract,
         lineage_dependency_lines,
     )

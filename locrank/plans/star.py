@@ -17,6 +17,9 @@ LINE_COLUMNS = (
     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_linestatus string"
 )
 ORDER_COLUMNS = "o_orderkey long, o_custkey long"
+OBSERVED_COLUMNS = (
+    "o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz"
+)
 CUSTOMER_COLUMNS = "c_custkey long, c_nationkey long"
 SUPPLIER_COLUMNS = "s_suppkey long, s_nationkey long"
 NATION_COLUMNS = "n_nationkey long, n_regionkey long"
@@ -37,7 +40,7 @@ def observations(spark, sf_dir):
     def of_status(status):
         return F.when(F.col("o_orderstatus") == status, price)
 
-    return table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders", OBSERVED_COLUMNS).select(
         F.col("o_custkey").alias(KEY),
         F.col("o_orderdate").cast("date").alias("date"),
         price.alias(MEASURES[0]),
@@ -192,14 +195,19 @@ def row_consumers(spark, sf_dir):
 
 
 def row_tasks(spark, sf_dir):
-    """tasks(task, inputs, outputs) of the rows that others refer to."""
+    """tasks(task, inputs, outputs): every row reads the rows its keys name and declares itself."""
 
-    def of_table(kind, source, key, *inputs):
-        columns = ", ".join(f"{name} long" for name in [key, *[column for _, column in inputs]])
+    def of_table(kind, source, key, *inputs, number=None):
+        columns = [key, *([number] if number else []), *[column for _, column in inputs]]
+        types = ", ".join(f"{name} {'int' if name == number else 'long'}" for name in dict.fromkeys(columns))
         read = F.array(*[_path(other, column) for other, column in inputs])
-        declared = F.struct(_name(kind, key).alias("name"), _path(kind, key).alias("path"))
-        return table(spark, sf_dir, source, columns).select(
-            _row(kind, key).alias("task"),
+        own = [key, number] if number else [key]
+        of_row = F.concat_ws("-", F.lit(kind), *own)
+        declared = F.struct(of_row.alias("name"), F.concat(F.lit("data/rows/"), of_row).alias("path"))
+        if not number:
+            declared = F.struct(_name(kind, key).alias("name"), _path(kind, key).alias("path"))
+        return table(spark, sf_dir, source, types).select(
+            _row(kind, *own).alias("task"),
             read.cast("array<string>").alias("inputs"),
             F.array(declared).alias("outputs"),
         )
@@ -213,20 +221,27 @@ def row_tasks(spark, sf_dir):
             of_table("supplier", "supplier", "s_suppkey", ("nation", "s_nationkey")),
             of_table("part", "part", "p_partkey"),
             of_table("order", "orders", "o_orderkey", ("customer", "o_custkey")),
+            of_table(
+                "line",
+                "lineitem",
+                "l_orderkey",
+                ("order", "l_orderkey"),
+                ("part", "l_partkey"),
+                ("supplier", "l_suppkey"),
+                number="l_linenumber",
+            ),
         ],
     )
 
 
 def order_outputs(spark, sf_dir):
-    """outputs(task, name, path): an order delivers the parts of its finished lines."""
-    return (
-        table(spark, sf_dir, "lineitem", LINE_COLUMNS)
-        .where(F.col("l_linestatus") == "F")
-        .select(
-            F.col("l_orderkey").alias("task"),
-            _name("part", "l_partkey").alias("name"),
-            _path("part", "l_partkey").alias("path"),
-        )
+    """outputs(task, name, path): an order delivers a part of a supplier with each line; open lines
+    have no place yet."""
+    place = F.concat(_path("part", "l_partkey"), F.lit("/"), F.col("l_suppkey"))
+    return table(spark, sf_dir, "lineitem", LINE_COLUMNS).select(
+        F.col("l_orderkey").alias("task"),
+        _name("part", "l_partkey").alias("name"),
+        F.when(F.col("l_linestatus") == "F", place).alias("path"),
     )
 
 
@@ -263,3 +278,27 @@ def trade(spark, sf_dir):
     supplied = sold.join(suppliers, "l_suppkey").select("l_orderkey", "dst").distinct()
     bought = orders.join(customers, "o_custkey").select("l_orderkey", "src")
     return supplied.join(bought, "l_orderkey").select("src", "dst").distinct()
+
+
+def net_trade(spark, sf_dir):
+    """Edges (src, dst) between nations: src's suppliers deliver more lines to dst than the other way."""
+    suppliers = table(spark, sf_dir, "supplier", SUPPLIER_COLUMNS).select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("src")
+    )
+    customers = table(spark, sf_dir, "customer", CUSTOMER_COLUMNS).select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("dst")
+    )
+    orders = table(spark, sf_dir, "orders", ORDER_COLUMNS).select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey"
+    )
+    sold = table(spark, sf_dir, "lineitem", LINE_COLUMNS).select("l_orderkey", "l_suppkey")
+    bought = orders.join(customers, "o_custkey").select("l_orderkey", "dst")
+    pairs = sold.join(suppliers, "l_suppkey").join(bought, "l_orderkey").where("src <> dst")
+    low, high = F.least("src", "dst").alias("low"), F.greatest("src", "dst").alias("high")
+    balance = F.sum(F.when(F.col("src") < F.col("dst"), 1).otherwise(-1)).alias("balance")
+    net = pairs.groupBy(low, high).agg(balance).where("balance <> 0")
+    up = F.col("balance") > 0
+    return net.select(
+        F.when(up, F.col("low")).otherwise(F.col("high")).alias("src"),
+        F.when(up, F.col("high")).otherwise(F.col("low")).alias("dst"),
+    )

@@ -14,17 +14,16 @@ SETTINGS = {
 }
 
 TASK_BYTES = 512 * 1024**2
-MAX_SHUFFLE_PARTITIONS = 50_000
 
 
-def sized_for(shuffle_bytes):
+def sized_for(shuffle_bytes, most_partitions=None):
     """Settings for a flow whose largest shuffle has about that many bytes.
 
-    The number of shuffle blocks is map tasks times partitions, so at the largest inputs splits are
-    large and partitions are held to a number the shuffle service can serve.
+    The number of shuffle blocks is map tasks times partitions; `most_partitions` holds it to what
+    the cluster's shuffle service can serve, at the price of larger partitions.
     """
     wanted = -(-shuffle_bytes // TASK_BYTES)
-    partitions = max(200, min(MAX_SHUFFLE_PARTITIONS, wanted))
+    partitions = max(200, min(most_partitions or wanted, wanted))
     return {
         "spark.sql.files.maxPartitionBytes": str(TASK_BYTES),
         "spark.sql.shuffle.partitions": str(partitions),

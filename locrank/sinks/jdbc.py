@@ -5,6 +5,7 @@ from contextlib import closing
 
 from locrank.operators.grouping import any_row_per_key
 from locrank.schemas import KEY
+from locrank.storage import keep
 
 # The table's name and the declared type of its key. The rate takes the dialect's own
 # double type.
@@ -29,21 +30,22 @@ def load_table(ranking, url, connect, table=TABLE, properties=None):
     spark = ranking.sparkSession
     rows = rows_to_load(ranking)
     staging = f"{table}_{uuid.uuid4().hex[:8]}"
-    rows.write.option("createTableColumnTypes", COLUMN_TYPES).jdbc(
-        url, staging, mode="error", properties=properties
-    )
-    expected = rows.count()
-    found = spark.read.jdbc(url, staging, properties=properties).count()
+    rows = keep(rows, "load")  # the same rows are written and counted
     with closing(connect()) as connection, closing(connection.cursor()) as cursor:
-        if found != expected:
-            cursor.execute(f"DROP TABLE {staging}")
-            connection.commit()
-            raise RuntimeError(f"staged {found} rows of {expected}; {table} is unchanged")
         try:
+            rows.write.option("createTableColumnTypes", COLUMN_TYPES).jdbc(
+                url, staging, mode="error", properties=properties
+            )
+            expected = rows.count()
+            found = spark.read.jdbc(url, staging, properties=properties).count()
+            if found != expected:
+                raise RuntimeError(f"staged {found} rows of {expected}; {table} is unchanged")
             cursor.execute(f"DROP TABLE IF EXISTS {table}")
             cursor.execute(f"ALTER TABLE {staging} RENAME TO {table.rsplit('.', 1)[-1]}")
             connection.commit()
         except Exception:
             connection.rollback()
+            cursor.execute(f"DROP TABLE IF EXISTS {staging}")
+            connection.commit()
             raise
     return found

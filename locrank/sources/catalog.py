@@ -9,6 +9,30 @@ CSV_READ = {"header": "true", "positiveInf": "inf", "negativeInf": "-inf"}
 CSV_WRITE = {"header": "true"}
 
 
+def read_csv(spark, path, schema=None):
+    """A CSV file or folder with header lines; without a schema Spark infers one in an extra pass.
+
+    The columns of a schema are found by their names in the header, whatever their order and however
+    many others there are; one that is missing is an error. All files must have the same header:
+    Spark compares each file's with that of the first. Reading the header reads one line; the scan
+    reads each file once and parses only the columns that are used.
+    """
+    reader = spark.read.options(**CSV_READ)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    header = reader.csv(path).columns
+    declared = {column.name: column.dataType for column in schema}
+    missing = [name for name in declared if name not in header]
+    if missing and header:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    whole = T.StructType([T.StructField(name, declared.get(name, T.StringType())) for name in header or declared])
+    return reader.schema(whole).option("enforceSchema", False).csv(path).select(*map(_quoted, declared))
+
+
+def _quoted(name):
+    return "`" + name.replace("`", "``") + "`"
+
+
 @dataclass(frozen=True)
 class Dataset:
     name: str
@@ -16,14 +40,18 @@ class Dataset:
     format: str = "parquet"
     schema: T.StructType | None = None
 
-    @property
-    def read_options(self):
-        return CSV_READ if self.format == "csv" else {}
-
     @property
     def write_options(self):
         return CSV_WRITE if self.format == "csv" else {}
 
+    def read(self, spark, path=None):
+        """The dataset's files, or those of a version of it, as a lazy DataFrame."""
+        path = path or self.path
+        if self.format == "csv":
+            return read_csv(spark, path, self.schema)
+        reader = spark.read.format(self.format)
+        return (reader if self.schema is None else reader.schema(self.schema)).load(path)
+
 
 @dataclass
 class Catalog:
@@ -41,11 +69,7 @@ class Catalog:
 
     def scan(self, spark, name):
         """The dataset as a lazy DataFrame, read from its path as it stands."""
-        dataset = self.datasets[name]
-        reader = spark.read.format(dataset.format).options(**dataset.read_options)
-        if dataset.schema is not None:
-            reader = reader.schema(dataset.schema)
-        return reader.load(dataset.path)
+        return self.datasets[name].read(spark)
 
     def register_views(self, spark):
         """Make every dataset a temporary view of its own name."""

@@ -2,15 +2,7 @@
 
 from locrank.schemas import TASK_SPEC
 from locrank.sinks.publish import published_path
-from locrank.sources.catalog import CSV_READ
-
-
-def read_csv(spark, path, schema=None):
-    """A CSV file or folder with header lines; without a schema Spark infers one in an extra pass."""
-    reader = spark.read.options(**CSV_READ)
-    if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+from locrank.sources.catalog import read_csv
 
 
 def read_parquet(spark, path, schema=None):
@@ -23,12 +15,12 @@ def read_published(spark, dataset):
     path = published_path(spark, dataset)
     if path is None:
         raise FileNotFoundError(f"dataset {dataset.name} has no published version")
-    reader = spark.read.format(dataset.format).options(**dataset.read_options)
-    if dataset.schema is not None:
-        reader = reader.schema(dataset.schema)
-    return reader.load(path)
+    return dataset.read(spark, path)
 
 
 def read_task_specs(spark, path):
     """Task specifications as JSON, one task per line: its name, its inputs and its outputs."""
     return spark.read.schema(TASK_SPEC).json(path)
+
+
+__all__ = ["read_csv", "read_parquet", "read_published", "read_task_specs"]

@@ -1,42 +1,55 @@
 """Paths on the session's file system."""
 
-import tempfile
 import uuid
 
 
-def _located(spark, path):
-    located = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return located.getFileSystem(spark._jsc.hadoopConfiguration()), located
+def located(spark, path):
+    """The file system of a path, and the path as that system's type."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def exists(spark, path):
-    system, located = _located(spark, path)
-    return system.exists(located)
+    system, place = located(spark, path)
+    return system.exists(place)
 
 
 def delete(spark, path):
     """Remove a folder this package wrote. False if it was not there."""
-    system, located = _located(spark, path)
-    return system.delete(located, True)
+    system, place = located(spark, path)
+    return system.delete(place, True)
 
 
 def shared_root(spark):
-    """The folder the cluster gives in spark.checkpoint.dir, set for checkpoints too.
+    """The folder the cluster gives in spark.checkpoint.dir, else one in the session's warehouse.
 
-    A local session without that setting gets a temporary folder; on a cluster executors would
-    not share one, so there the setting is required.
+    A folder that the cluster names is taken as it is, also a `file:` one: executors may share a
+    mount. The warehouse stands in for it only where all tasks run on this machine or where it is
+    not on a local disk.
     """
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if root is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="locrank-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(root)
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root is not None:
+        return root
+    warehouse = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    master = spark.sparkContext.master
+    local = master == "local" or master.startswith("local[")
+    if not local and located(spark, warehouse)[0].getScheme() == "file":
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return warehouse
 
 
 def scratch_dir(spark, purpose):
     """A new folder name under the shared root."""
     return f"{shared_root(spark).rstrip('/')}/locrank/{purpose}-{uuid.uuid4().hex}"
+
+
+def keep(frame, purpose, path=None):
+    """Write a result that several jobs read, and read it back.
+
+    A lost executor then costs the tasks that ran on it, not the jobs before, and all readers see
+    the same rows. The table stays until the shared folder is cleaned.
+    """
+    spark = frame.sparkSession
+    path = path or scratch_dir(spark, purpose)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from locrank.plans.dependencies import CyclicFlowError, OutputContractError, dependency_lines
 from locrank.sources import read_task_specs
@@ -50,5 +51,30 @@ def test_more_or_less_than_one_output_stops_the_flow(specs):
 
 def test_output_without_a_path_does_not_count(specs):
     bare = {"task": "task_5", "inputs": [], "outputs": [{"name": "x", "path": None}]}
-    with pytest.raises(OutputContractError, match="task_5 has 0"):
+    with pytest.raises(OutputContractError, match="task_5 has 0 and 1 without a path"):
         dependency_lines(specs([*FLOW, bare]))
+
+
+def test_the_error_holds_all_violations(specs):
+    tasks = [*FLOW, *(task(f"bare_{n}", []) for n in range(8))]
+    with pytest.raises(OutputContractError, match="8 tasks .* and 3 more") as error:
+        dependency_lines(specs(tasks))
+    assert error.value.violations.count() == error.value.total == 8
+
+
+def test_answers_of_the_star_schema_follow_its_rows(spark, monkeypatch):
+    """The same query on altered rows gives another answer."""
+    from locrank.operators import is_acyclic
+    from locrank.plans import star
+
+    net = star.net_trade(spark, "/root/testdata/sf0.01")
+    assert not is_acyclic(net)
+    assert is_acyclic(net.where("src < dst"))
+    rows = star.row_tasks(spark, "/root/testdata/sf0.001")
+    assert dependency_lines(rows).count() > 6000
+    twice = rows.where("task like 'line %'").limit(1)
+    with pytest.raises(CyclicFlowError):
+        loop = twice.selectExpr("task", "array(outputs[0].path) as inputs", "outputs")
+        dependency_lines(rows.unionAll(loop).groupBy("task").agg(
+            F.flatten(F.collect_list("inputs")).alias("inputs"), F.first("outputs").alias("outputs")
+        ))

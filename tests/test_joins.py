@@ -72,10 +72,13 @@ def test_salted_join_of_other_kinds(skewed, how):
     assert rows(salted(many, one, 20, how)) == rows(many.join(one, "k", how))
 
 
-def test_hot_keys_are_few_and_without_null(skewed):
+def test_hot_keys_are_all_keys_above_the_limit(spark, skewed):
     many, _ = skewed
     hot = {r.k: r._salts for r in hot_keys(rows_per_key(many, "k"), "k", 100).collect()}
-    assert hot[0] == 31 and None not in hot and len(hot) <= 1000
+    assert hot[0] == 31 and None not in hot
+    counted = spark.range(3000).selectExpr("id as k", "id * 100 + 11 as rows")
+    salts = {r.k: r._salts for r in hot_keys(counted, "k", 10).collect()}
+    assert len(salts) == 3000 and salts[2999] == 29992
 
 
 def test_salting_spreads_the_hot_key(spark, skewed, settings):

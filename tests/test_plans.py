@@ -73,7 +73,8 @@ def test_broadcast_by_size_is_sparks_choice(spark):
 
 
 def test_sized_for():
-    def partitions(shuffle_bytes):
-        return int(sized_for(shuffle_bytes)["spark.sql.shuffle.partitions"])
+    def partitions(*arguments):
+        return int(sized_for(*arguments)["spark.sql.shuffle.partitions"])
 
-    assert (partitions(10**9), partitions(10**12), partitions(10**14)) == (200, 1863, 50_000)
+    assert (partitions(10**9), partitions(10**12), partitions(10**14)) == (200, 1863, 186_265)
+    assert partitions(10**14, 50_000) == 50_000

@@ -21,12 +21,12 @@ def values(frame):
 def test_snapshot_scan_with_crlf_and_infinity(spark, tmp_path):
     lines = [
         HEADER,
-        "Taiwan*,462,7,440,15,4,0,0,1.52,95.24,1.59,451,11,2.44,Western Pacific",
+        "Ruritania*,90,9,60,21,5,1,2,10.0,66.67,15.0,85,5,5.88,Nowhere Sea",
         "Cote d'Ivoire,10,3,0,7,0,0,0,30.0,0.0,inf,,,,Africa",
     ]
     (tmp_path / "snapshot.csv").write_bytes("\r\n".join(lines).encode() + b"\r\n")
     rows = {r[0]: r for r in read_csv(spark, str(tmp_path), SNAPSHOT).collect()}
-    assert rows["Taiwan*"]["WHO Region"] == "Western Pacific"
+    assert rows["Ruritania*"]["WHO Region"] == "Nowhere Sea"
     assert rows["Cote d'Ivoire"]["Deaths / 100 Recovered"] == float("inf")
     assert rows["Cote d'Ivoire"]["Confirmed last week"] is None
     inferred = read_csv(spark, str(tmp_path))
@@ -220,7 +220,7 @@ def test_load_leaves_the_table_when_counts_differ(spark, jdbc):
     frame = spark.createDataFrame([("a", 0.5), ("b", 0.25)], RANKING)
     with pytest.raises(RuntimeError, match="staged 3 rows of 2"):
         load_table(frame, "jdbc:x", recorder, "best")
-    assert recorder.log[1:] == [f"DROP TABLE {recorder.table}", "commit", "close", "close"]
+    assert recorder.log[1:] == ["rollback", f"DROP TABLE IF EXISTS {recorder.table}", "commit", "close", "close"]
 
 
 def test_load_rolls_back_a_failed_swap(spark, jdbc):
@@ -228,4 +228,4 @@ def test_load_rolls_back_a_failed_swap(spark, jdbc):
     frame = spark.createDataFrame([("a", 0.5)], RANKING)
     with pytest.raises(OSError):
         load_table(frame, "jdbc:x", recorder, "best")
-    assert recorder.log[-3:] == ["rollback", "close", "close"]
+    assert recorder.log[-5:] == ["rollback", f"DROP TABLE IF EXISTS {recorder.table}", "commit", "close", "close"]
