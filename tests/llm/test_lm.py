@@ -1,0 +1,91 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+
+from locrank.llm import gru
+from locrank.llm.lm import op8_lm, scores
+
+
+def by_hand(docs):
+    split = [(d, [*(t or "").encode().lower().split(), b"\n"]) for d, t in docs]
+    held = [d is not None and zlib.crc32(str(d).encode()) % 10 == 0 for d, _ in docs]
+    counts = Counter(w for (_, own), out in zip(split, held) if not out for w in own)
+    total, size = sum(counts.values()), len(counts)
+    base = math.log10(total + 0.1 * (size + 1))
+    return [
+        (d, out, len(own), sum(w in counts for w in own), total, sum(math.log10(counts[w] + 0.1) - base for w in own))
+        for (d, own), out in zip(split, held)
+    ]
+
+
+def compare(found, expected):
+    found = sorted(found, key=lambda r: (str(r.doc_id), r.n_tokens))
+    expected = sorted(expected, key=lambda r: (str(r[0]), r[2]))
+    assert len(found) == len(expected)
+    for r, e in zip(found, expected):
+        assert (r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens) == e[:5]
+        assert math.isclose(r.base_score, e[5], rel_tol=1e-9, abs_tol=1e-9) and math.isfinite(r.score) and r.score <= 0
+
+
+def test_edge_cases_with_and_without_a_join_of_rare_words(spark, frame, edge_cases):
+    docs = [*edge_cases, *((n, f"common words and one r{n} r{n}") for n in range(10, 60))]
+    plain = scores(frame(docs), rates=(0.01,)).collect()
+    compare(plain, by_hand(docs))
+    joined = scores(frame(docs), max_words=20, rates=(0.01,)).collect()
+    compare(joined, by_hand(docs))
+    for a, b in zip(sorted(plain, key=repr), sorted(joined, key=repr)):
+        assert math.isclose(a.score, b.score, rel_tol=1e-4)
+    assert scores(frame([]), rates=(0.01,)).count() == 0
+
+
+def test_only_held_out_documents(spark, frame):
+    held = [n for n in range(200) if zlib.crc32(str(n).encode()) % 10 == 0][:3]
+    docs = [(n, "never learned") for n in held]
+    compare(scores(frame(docs), rates=(0.01,)).collect(), by_hand(docs))
+
+
+def test_gradient():
+    draw = np.random.default_rng(0)
+    starts = np.array([0, 3, 7, 8, 9])
+    class_of = np.searchsorted(starts, np.arange(9), "right") - 1
+    vector = gru.initial(draw.integers(1, 50, 9).astype(float), starts, 5).astype(np.float64)
+    vector += draw.normal(0, 0.3, len(vector))
+    shapes = gru.layout(9, 4, 5)
+    read, target = draw.integers(0, 9, (6, 4)), draw.integers(0, 9, (6, 4))
+    start = np.zeros((6, 4), bool)
+    start[0, :] = start[3, 2] = True
+
+    def loss(v):
+        p = gru.unpack(v, shapes)
+        states = gru._forward(p, read, start, np.zeros((4, 5)))
+        return -gru._outputs(p, states, target, starts, class_of)[0].sum()
+
+    p, gradient = gru.unpack(vector, shapes), np.zeros_like(vector)
+    grad, kept = gru.unpack(gradient, shapes), []
+    states = gru._forward(p, read, start, np.zeros((4, 5)), kept)
+    _, back = gru._outputs(p, states, target, starts, class_of, grad)
+    gru._backward(p, grad, read, start, kept, back.reshape(states.shape))
+    for k in draw.choice(len(vector), 60, replace=False):
+        step = np.zeros_like(vector)
+        step[k] = 1e-3
+        assert math.isclose((loss(vector + step) - loss(vector - step)) / 2e-3, gradient[k], rel_tol=0.05, abs_tol=0.01)
+
+
+def test_scores_are_probabilities_and_do_not_depend_on_neighbours():
+    starts = np.array([0, 2, 3, 4])
+    class_of = np.array([0, 0, 1, 2])
+    vector = gru.initial(np.array([5.0, 3.0, 2.0, 1.0]), starts)
+    vector += np.random.default_rng(1).normal(0, 0.2, len(vector)).astype(np.float32)
+    texts = [np.array([a, b, c], np.uint16) for a in range(4) for b in range(4) for c in range(4)]
+    logs = gru.score(vector, texts, starts, class_of, 3)
+    assert math.isclose(np.exp(logs).sum(), 1.0, rel_tol=1e-4)
+    long = np.random.default_rng(2).integers(0, 4, 3000).astype(np.uint16)
+    assert np.allclose(gru.score(vector, [long, *texts], starts, class_of, 3)[1:], logs, rtol=1e-4)
+    assert np.isclose(gru.score(vector, [long], starts, class_of, 3)[0], gru.score(vector, [long, *texts], starts, class_of, 3)[0], rtol=1e-4)
+
+
+def test_held_out_documents_are_more_likely_under_the_network(spark):
+    found = op8_lm(spark, "/root/testdata/sf0.01").where("held_out").collect()
+    assert sum(r.score for r in found) > 0.97 * sum(r.base_score for r in found)

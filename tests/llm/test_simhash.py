@@ -1,0 +1,107 @@
+import itertools
+import random
+
+import xxhash
+
+from conftest import rows
+
+from locrank.llm.components import components
+from locrank.llm.simhash import covering_masks, fingerprint, links, near_duplicates, one_of_each
+
+
+def by_hand_print(text, size=4):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    n = max(1, len(words) - size + 1)
+    hashes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + size]), 42) for i in range(n)]
+    value = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > n)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def classes(prints, radius=4):
+    """print -> smallest print that can be reached, all pairs compared."""
+    of = {p: p for p in prints}
+
+    def top(p):
+        while of[p] != p:
+            p = of[p]
+        return p
+
+    for a, b in itertools.combinations(sorted(of), 2):
+        if ((a ^ b) & (2**64 - 1)).bit_count() <= radius:
+            x, y = sorted((top(a), top(b)))
+            of[y] = x
+    return {p: top(p) for p in of}
+
+
+def test_every_pair_within_the_radius_shares_a_bucket():
+    draw = random.Random(5)
+    for radius in (1, 2, 4):
+        masks = covering_masks(radius)
+        assert len(masks) == 2 ** (radius + 1) - 1
+        for _ in range(2000):
+            change = sum(1 << b for b in draw.sample(range(64), radius))
+            assert any(mask & change == 0 for mask in masks)
+
+
+def test_fingerprints(edge_cases):
+    for _, text in edge_cases:
+        assert fingerprint((text or "").encode(), 4) == by_hand_print(text)
+
+
+def test_components_of_dense_and_sparse_groups_in_small_blocks(spark):
+    """Tight groups, chains of near prints, and strangers, with blocks that split every bucket."""
+    draw = random.Random(9)
+    prints = [draw.getrandbits(63) for _ in range(60)]
+    for centre in prints[:3]:
+        prints += [centre ^ sum(1 << b for b in draw.sample(range(63), draw.randint(1, 7))) for _ in range(60)]
+    chain = prints[5]
+    for _ in range(25):
+        chain ^= sum(1 << b for b in draw.sample(range(63), 4))
+        prints.append(chain)
+    expected = classes(prints)
+    weights = spark.createDataFrame([(p, 1) for p in set(prints)], "fp long, n long")
+    for block in (4, 4096):
+        found = {r.vertex: r.component for r in components(links(weights, 4, block), "test").collect()}
+        assert {p: found.get(p, p) for p in set(prints)} == expected
+
+
+def test_components_of_a_long_path_and_a_star(spark):
+    path = spark.range(299).selectExpr("(id * 7919) % 300 as a", "((id + 1) * 7919) % 300 as b")
+    assert {r.component for r in components(path, "path").collect()} == {0}
+    star = spark.range(1, 500).selectExpr("500L as a", "id as b")
+    assert {r.component for r in components(star, "star").collect()} == {1}
+
+
+def test_documents_with_edge_cases(spark, frame, edge_cases):
+    draw = random.Random(1)
+    text = " ".join(f"t{draw.randrange(10**6)}" for _ in range(400))
+    docs = [*edge_cases, (90, text), (91, text.upper()), (92, text + " tail")]
+    prints = {i: by_hand_print(t) for i, (_, t) in enumerate(docs)}
+    of = classes(prints.values())
+    expected = []
+    for i, (doc, _) in enumerate(docs):
+        ids = [d for j, (d, _) in enumerate(docs) if of[prints[j]] == of[prints[i]] and d is not None]
+        expected.append((doc, prints[i], min(ids, default=None)))
+    found = near_duplicates(frame(docs))
+    assert rows(found, "doc_id", "fp", "component_id") == sorted(expected, key=repr)
+    assert near_duplicates(frame([])).count() == 0
+    kept = one_of_each(frame(docs))
+    assert kept.columns == frame(docs).columns
+    stay = sorted({(d, c) for d, _, c in expected if d == c}, key=repr)
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(d for d, _ in stay if d is not None)
+    assert kept.where("doc_id is null").count() == 1
+
+
+def test_op2_on_the_tables(spark, sf_dir):
+    from locrank.llm.simhash import op2_simhash
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    prints = {r.doc_id: by_hand_print(r.text) for r in docs}
+    of = classes(set(prints.values()))
+    first = {}
+    for d in sorted(prints):
+        first.setdefault(of[prints[d]], d)
+    expected = sorted((d, f"{p & (2**64 - 1):016x}", first[of[p]]) for d, p in prints.items())
+    assert sorted(map(tuple, op2_simhash(spark, sf_dir).collect())) == expected

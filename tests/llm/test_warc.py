@@ -1,0 +1,80 @@
+import io
+import zipfile
+
+import pyarrow as pa
+import pytest
+
+from locrank.llm.warc import DATA, members, read_packages, write_packages
+from locrank.storage import scratch_dir
+
+LONG = "<p>" + "x" * 200 + "</p>"
+PAGES = [
+    (5, "http://a/?q=%41&b=c d", LONG),
+    (3, "http://b/é", LONG),
+    (9, None, LONG),
+    (4, "http://c", "short"),
+    (2, "http://d", "short"),
+    (7, "http://e", None),
+    (8, "http://f", ""),
+    (None, "http://g", LONG),
+    (6, "http://h", "ü" * 5000),
+]
+
+
+def pages(spark, data):
+    return spark.createDataFrame([(*row, "clash") for row in data], "page_id long, url string, html string, digest string")
+
+
+@pytest.mark.parametrize("package_bytes", [1, 10**9])
+def test_round_trip(spark, package_bytes):
+    packages = write_packages(pages(spark, PAGES), scratch_dir(spark, "warc-test"), package_bytes)
+    found = read_packages(packages).collect()
+    by_id = {r.page_id: r for r in found}
+    assert len(found) == len(PAGES)
+    for page, url, html in PAGES:
+        r = by_id[page]
+        assert r.url == (url or "") and r.payload_bytes == len((html or "").encode())
+        revisit = html == LONG and page != 3
+        assert (r.record_type, r.refers_to) == (("revisit", 3) if revisit else ("response", None))
+        assert r.html == (None if revisit else html or "")
+
+
+def test_no_pages(spark):
+    packages = write_packages(pages(spark, []), scratch_dir(spark, "warc-test"))
+    assert read_packages(packages).count() == 0
+
+
+def archive(count=1, payload=b"payload"):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+        for n in range(count):
+            with z.open(zipfile.ZipInfo(f"m{n}"), "w", force_zip64=True) as stream:
+                stream.write(payload)
+        z.writestr(zipfile.ZipInfo(DATA), b"last")
+        z.writestr("packed", b"a" * 100, compress_type=zipfile.ZIP_DEFLATED)
+        z.comment = b"a comment after the directory"
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("count", [1, 70_000])
+def test_directories(count):
+    """70,000 members do not fit into the plain end record and need the ZIP64 one."""
+    data = archive(count)
+    found = members(pa.BufferReader(data))
+    assert len(found) == count + 1 and "packed" not in found
+    for name, expected in (("m0", b"payload"), (f"m{count - 1}", b"payload"), (DATA, b"last")):
+        start, size = found[name]
+        assert data[start : start + size] == expected
+
+
+def test_damaged_archives():
+    for data in (b"", b"not a zip", archive()[:-60]):
+        with pytest.raises(ValueError):
+            members(pa.BufferReader(data))
+
+
+def test_wide_sizes_come_from_the_extra_field():
+    from locrank.llm.warc import _wide
+
+    extra = b"\x99\x00\x02\x00ab" + b"\x01\x00\x10\x00" + (2**33).to_bytes(8, "little") + (2**34).to_bytes(8, "little")
+    assert _wide(extra, 0xFFFFFFFF, 7, 0xFFFFFFFF) == [2**33, 7, 2**34]
