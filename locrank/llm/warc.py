@@ -75,9 +75,9 @@ def _page_record(page, url, payload, digest, first):
 
 
 @contextmanager
-def _package(system, path, attempt):
+def _package(system, path):
     """A stream for the data member and a list for index lines; the archive appears when complete."""
-    part = f"{path}.{attempt}.part"
+    part = f"{path}.part"
     with system.open_output_stream(part) as out:
         with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED, allowZip64=True) as archive:
             lines = []
@@ -95,8 +95,8 @@ def _write(folder, package_bytes):
         for batch in batches:
             for row in batch.to_pylist():
                 if package is None:
-                    path = f"{root}/part-{context.partitionId():06d}-{number:04d}.wacz"
-                    package = _package(system, path, context.taskAttemptId())
+                    path = f"{root}/part-{context.partitionId():06d}-{number:04d}-{context.taskAttemptId()}.wacz"
+                    package = _package(system, path)
                     stream, lines = package.__enter__()
                     paths.append(posixpath.join(folder, posixpath.basename(path)))
                     number, size, offset = number + 1, 0, 0
@@ -143,8 +143,9 @@ def write_packages(pages, folder, package_bytes=PACKAGE_BYTES):
     * Repeated rows of the smallest page_id are all responses.
     * Empty pages give no package; other columns are ignored.
 
-    A task streams its rows to files of about package_bytes. They get their names when complete, and
-    a task that runs again replaces them by the same.
+    A task streams its rows to files of about package_bytes, which get their names when complete. A
+    task that runs again may see its rows in another order, so each attempt has files of its own; the
+    paths are those of the attempts whose results count, and other files are never read.
     """
     system, root = _system(folder)
     system.create_dir(root, recursive=True)

@@ -1,9 +1,12 @@
+import hashlib
 import io
 import zipfile
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pytest
 
+from locrank.llm import warc
 from locrank.llm.warc import DATA, members, read_packages, write_packages
 from locrank.storage import scratch_dir
 
@@ -39,6 +42,25 @@ def test_round_trip(spark, package_bytes):
         assert r.html == (None if revisit else html or "")
 
 
+def test_attempts_of_a_task_do_not_touch_each_other(spark, tmp_path, monkeypatch):
+    """A late attempt that sees the rows in another order, with other packages, changes nothing."""
+
+    def attempt(number, order):
+        context = SimpleNamespace(partitionId=lambda: 0, taskAttemptId=lambda: number)
+        monkeypatch.setattr(warc, "TaskContext", SimpleNamespace(get=lambda: context))
+        names = ["page_id", "url", "html", "digest", "first"]
+        rows = [(n, f"http://{n}", str(n) * size, hashlib.sha256(str(n).encode() * size).hexdigest(), None) for n, size in order]
+        batch = pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in rows])
+        [paths] = warc._write(str(tmp_path), 100)([batch])
+        return paths.column("path").to_pylist()
+
+    counted = attempt(1, [(1, 60), (2, 60), (3, 60)])
+    late = attempt(2, [(3, 60), (1, 60), (2, 60)])
+    assert len(counted) == len(late) == 2 and not set(counted) & set(late)
+    found = read_packages(spark.createDataFrame([(path,) for path in counted], "path string")).collect()
+    assert sorted(r.page_id for r in found) == [1, 2, 3]
+
+
 def test_no_pages(spark):
     packages = write_packages(pages(spark, []), scratch_dir(spark, "warc-test"))
     assert read_packages(packages).count() == 0
