@@ -6,7 +6,6 @@ capacity, each as a share of its limit, is placed next.
 """
 
 import os
-import re
 import sys
 import types
 from array import array
@@ -22,8 +21,8 @@ from pyspark.sql import functions as F
 
 #: Tokens a task holds while it packs; about 16 MB.
 POOL_TOKENS = 2_000_000
-#: Words, and parts of words, whose ids a task remembers; about 150 MB.
-CACHED_WORDS = 400_000
+#: Words, and parts of words, whose ids a worker remembers; about 120 MB.
+CACHED_WORDS = 600_000
 #: Bytes of text tokenized at a time.
 TEXT_BYTES = 8_000_000
 
@@ -41,10 +40,15 @@ class WordTokenizer:
     """Ids of texts, word by word: the tokenizer's own rules never join text across white space.
 
     Words are divided further where its rules surely divide them, between letters, digits and other
-    characters, so that fewer distinct strings have to be tokenized.
+    characters, so that fewer distinct strings have to be tokenized. ASCII words are divided and
+    lower-cased as arrays of bytes, whole texts at once.
     """
 
-    _RUNS = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+    #: Kinds of bytes: letters, digits, others.
+    _KIND = np.array([1 if chr(c).isalpha() else 2 if chr(c).isdigit() else 0 for c in range(128)] + [0] * 128, np.uint8)
+    _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+    #: Words with such bytes stay whole: apostrophes and special tokens join others, accents may be composed.
+    _WHOLE = np.array([c >= 0x80 or c in b"'<" for c in range(256)])
     #: Parts that are tokenized in one text.
     _JOINED = 100
 
@@ -54,23 +58,42 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = np.array([end_id], "<u4").tobytes()
-        self.words, self.parts = {}, {}
+        self.known = {}
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
 
     @classmethod
-    def divided(cls, word):
-        """Parts of a word that the tokenizer takes one by one, or None where that is not sure:
-        apostrophes and special tokens join others, accents may be composed."""
+    def parts(cls, words):
+        """Parts of a binary array of words, one after the other, and at which part each word begins; the
+        last of these numbers is that of all parts."""
+        offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+        data = np.frombuffer(words.buffers()[2], np.uint8)[: offsets[-1]]
+        whole = np.zeros(len(words), bool)
+        whole[np.searchsorted(offsets, np.flatnonzero(cls._WHOLE[data]), "right") - 1] = True
+        kind, lowered = cls._KIND[data], cls._LOWER[data]
+        if whole.any():
+            inside = np.repeat(whole, np.diff(offsets))
+            lowered[inside], kind[inside] = data[inside], 0
+        begins = np.empty(len(data) + 1, bool)
+        begins[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+        begins[offsets] = True
+        cuts = np.flatnonzero(begins).astype(np.int32)
+        divided = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(lowered)])
+        return divided, np.searchsorted(cuts, offsets)
+
+    @staticmethod
+    def divided(word):
+        """Strings that the tokenizer takes one by one, or None where that is not sure. Here ASCII words are
+        divided already, unless they stay whole."""
         if word.isascii():
-            return None if b"'" in word or b"<" in word else cls._RUNS.findall(word.lower())
+            return None if b"'" in word or b"<" in word else (word,)
         letters = word.rstrip(b",.;:!?")
         if not letters.decode().lower().isalpha():
             return None
-        return [letters, word[len(letters) :]] if letters != word else [word]
+        return (letters, word[len(letters) :]) if letters != word else (word,)
 
-    def _learn_parts(self, parts):
+    def _joint(self, parts, into):
         """Ids of parts, told from each other in a joint text by the mark of a last token."""
         groups = [parts[at : at + self._JOINED] for at in range(0, len(parts), self._JOINED)]
         coded = self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)
@@ -79,40 +102,46 @@ class WordTokenizer:
             ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
             if len(ends) == len(group):
                 data = ids.tobytes()
-                self.parts.update(zip(group, [data[a:b] for a, b in zip([0, *ends], ends)]))
+                into.update(zip(group, [data[a:b] for a, b in zip([0, *ends], ends)]))
             else:
-                self._learn_alone(group, self.parts)
+                self._alone(group, into)
 
-    def _learn_alone(self, words, into):
+    def _alone(self, words, into):
         coded = self.tokenizer.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
         into.update((word, array("I", code.ids).tobytes()) for word, code in zip(words, coded))
 
-    def _learn(self, words):
+    def _learned(self, words):
         """Ids of words that are not known yet."""
-        divided = list(map(self.divided, words))
-        self._learn_alone([word for word, parts in zip(words, divided) if parts is None], self.words)
-        pairs = [(word, parts) for word, parts in zip(words, divided) if parts is not None]
-        self._learn_parts(list(set(chain.from_iterable(parts for _, parts in pairs)).difference(self.parts)))
-        known = self.parts
-        self.words.update((word, b"".join([known[part] for part in parts])) for word, parts in pairs)
+        divided, ids = list(map(self.divided, words)), {}
+        self._alone([word for word, parts in zip(words, divided) if parts is None], ids)
+        self._joint(list(set(chain.from_iterable(parts for parts in divided if parts))), ids)
+        return [
+            ids[word] if parts is None or len(parts) == 1 else ids[parts[0]] + ids[parts[1]] for word, parts in zip(words, divided)
+        ]
 
     def encode(self, texts):
         """Ids of each text of a string array as little-endian unsigned 32-bit numbers, without the end id."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         strings, row = lists.flatten(), pc.list_parent_indices(lists)
         real = pc.not_equal(pc.binary_length(strings), 0)
-        coded = strings.filter(real).dictionary_encode()
-        words = coded.dictionary.cast(pa.binary()).to_pylist()
-        self._learn([word for word in words if word not in self.words])
-        ids = [self.words[word] for word in words]
-        flat, sizes = coded.indices.to_numpy(zero_copy_only=False), np.bincount(row.filter(real), minlength=len(texts))
-        joined = pa.array(ids, pa.binary()).take(pa.array(flat))
-        ends = np.frombuffer(joined.buffers()[1], np.int32)[: len(joined) + 1][np.concatenate([[0], np.cumsum(sizes)])]
-        data = joined.buffers()[2].to_pybytes() if len(joined) else b""
-        for known in (self.words, self.parts):
-            if len(known) > CACHED_WORDS:  # the first to come are the most frequent
-                for word in list(islice(known, CACHED_WORDS, None)):
-                    del known[word]
+        sizes = np.bincount(row.filter(real), minlength=len(texts))
+        if not sizes.any():
+            return [b""] * len(texts)
+        parts, begins = self.parts(strings.filter(real).cast(pa.binary()))
+        coded = parts.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        ids = list(map(self.known.get, words))
+        new = [k for k, known in enumerate(ids) if known is None]
+        learned = self._learned([words[k] for k in new])
+        for k, found in zip(new, learned):
+            ids[k] = found
+        # The first to come are the most frequent.
+        room = max(0, CACHED_WORDS - len(self.known))
+        self.known.update(islice(zip((words[k] for k in new), learned), room))
+        joined = pa.array(ids, pa.binary()).take(coded.indices)
+        bounds = begins[np.concatenate([[0], np.cumsum(sizes)])]
+        ends = np.frombuffer(joined.buffers()[1], np.int32)[: len(joined) + 1][bounds]
+        data = joined.buffers()[2].to_pybytes()
         return [data[start:end] for start, end in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 

@@ -1,12 +1,14 @@
+import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from locrank.llm.packing import Limits, op3_packing, pack
+from locrank.llm.packing import Limits, WordTokenizer, op3_packing, pack
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -55,6 +57,17 @@ def joined(pieces):
     return sorted(out, key=repr)
 
 
+def test_ids_of_odd_texts(tokenizer):
+    """Texts of characters and special tokens that join, divide or compose."""
+    signs = [*"abXY01.,'!?<>|/_-# \t\n\x0b\x1c\x85", *"éßİñΣς½Ⅷﬁ日😀", "\u0301", "\u0331", "\u200d", "\xa0", "'s", "<|endoftext|>"]
+    draw, coder = random.Random(3), WordTokenizer(PATH, 2)
+    for _ in range(4):
+        texts = ["".join(draw.choices(signs, k=draw.randrange(30))) for _ in range(500)] + [None, "", " \n"]
+        found = coder.encode(pa.array(texts, pa.string()))
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [ids_of(tokenizer, text) for text in texts]
+    assert coder.encode(pa.array([None, " "], pa.string())) == [b"", b""]
+
+
 @pytest.mark.parametrize("limits", [Limits(), Limits(64, 3, 40, 4), Limits(128, 256, 16, 1)])
 def test_every_id_lies_in_one_piece_within_the_limits(spark, frame, edge_cases, tokenizer, limits):
     pieces = pack(frame(edge_cases), PATH, 2, limits).collect()
