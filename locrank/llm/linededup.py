@@ -102,15 +102,22 @@ def _bitmap():
 
 
 def _kept_text():
-    """The lines that stay, joined by line feeds."""
+    """The lines that stay, joined by line feeds: those between the runs, each taken as one slice."""
 
-    def stays(line, i):
-        inside = lambda run: (i >= run["start"]) & (i < run["start"] + run["length"])
-        return ~F.exists("_runs", inside)
+    def stay(lines):
+        def before(run, i):
+            previous = F.col("_runs")[i - 1]
+            start = F.when(i == 0, 0).otherwise(previous["start"] + previous["length"])
+            return F.slice(lines, start + 1, run["start"] - start)
+
+        last = F.element_at("_runs", -1)
+        end = last["start"] + last["length"]
+        rest = F.slice(lines, end + 1, F.size(lines) - end)
+        return F.array_join(F.concat(F.flatten(F.transform("_runs", before)), rest), "\n")
 
-    lines = _lines(F.col("text"))
     whole = F.coalesce("text", F.lit(""))
-    return F.when(F.col("_runs").isNull(), whole).otherwise(F.array_join(F.filter(lines, stays), "\n"))
+    split_once = F.transform(F.array(_lines(F.col("text"))), stay)
+    return F.when(F.col("_runs").isNull(), whole).otherwise(F.element_at(split_once, 1))
 
 
 def keep_bitmaps(docs):

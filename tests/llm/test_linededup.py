@@ -66,6 +66,14 @@ def test_null_ids_repeated_rows_and_empty_tables(spark, frame):
     assert rows(without_repeated_lines(frame([]))) == []
 
 
+def test_a_long_text_with_many_runs(spark, frame):
+    """Every second of 40,000 lines is in an earlier document."""
+    common = [f"common line {n}" for n in range(20_000)]
+    mixed = [line for n, other in enumerate(common) for line in (f"own line {n}", other)]
+    docs = [(1, "\n".join(common)), (2, "\n".join(mixed)), (3, "\n".join(common[::2]))]
+    check(frame(docs), docs)
+
+
 def test_plan(spark, sf_dir):
     plan = op10_line_dedup(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InArrow" not in plan
