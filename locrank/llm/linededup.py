@@ -21,9 +21,13 @@ RANGES = 65_536
 _SPACE = " \t\n\x0b\f\r"
 
 
+def _bare(line):
+    return F.btrim(line, F.lit(_SPACE))
+
+
 def line_key(line):
     """The line without white space at its ends, A-Z lower-cased."""
-    bare = F.btrim(line, F.lit(_SPACE))
+    bare = _bare(line)
     ascii_only = F.octet_length(bare) == F.char_length(bare)
     return F.when(ascii_only, F.lower(bare)).otherwise(F.translate(bare, string.ascii_uppercase, string.ascii_lowercase))
 
@@ -41,8 +45,12 @@ def dropped_lines(docs):
     after that.
     """
     spark = docs.sparkSession
-    lines = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
-    lines = lines.withColumn("key", line_key(F.col("line"))).where(F.char_length("key") >= MIN_KEY_CHARS)
+    # The text is hashed below the explode, once and not for every line. Any text has a line, and
+    # the outer form spares a second split that looks for texts without one.
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), _lines(F.col("text")).alias("lines"))
+    lines = texts.select("doc_id", "text_key", F.posexplode_outer("lines").alias("pos", "line"))
+    # A key has as many code points as the bare line.
+    lines = lines.where(F.char_length(_bare(F.col("line"))) >= MIN_KEY_CHARS).withColumn("key", line_key(F.col("line")))
     hashes = [F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), "key").alias("h2")]
     lines = keep(lines.select("doc_id", "text_key", "pos", *hashes), "lines")
 
