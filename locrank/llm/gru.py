@@ -129,22 +129,25 @@ def _forward(p, read, start, state, keep=None):
 
 
 #: Logits are kept within these bounds, where exponentials of single precision cannot overflow.
-MOST = 60
+MOST = np.float32(60)
+#: Sums by row are products with ones; there are fewer symbols than 16-bit numbers.
+_ONES = np.ones(1 << 16, np.float32)
 
 
 def _softmax(logits):
     """Exponentials of logits, and their sums by row."""
-    np.clip(logits, -MOST, MOST, out=logits)
+    np.minimum(logits, MOST, out=logits)
+    np.maximum(logits, -MOST, out=logits)
     np.exp(logits, out=logits)
-    return logits, logits @ np.ones(logits.shape[1], np.float32)
+    return logits, logits @ _ONES[: logits.shape[1]]
 
 
 def _outputs(p, states, target, starts, class_of, grad=None):
     """Natural log probabilities of targets; with grad also the gradient of their negative sum."""
     wanted = target.ravel()
     classes = class_of[wanted]
-    # Rows of one class lie together.
-    order = np.argsort(classes, kind="stable")
+    # Rows of one class lie together. Numbers of 16 bits are sorted by radix.
+    order = np.argsort(classes.astype(np.uint16), kind="stable")
     flat, wanted, classes = states.reshape(-1, states.shape[-1])[order], wanted[order], classes[order]
     edges = np.searchsorted(classes, np.arange(len(starts))).tolist()
     rows = np.arange(len(flat))
@@ -197,9 +200,10 @@ def _backward(p, grad, read, start, kept, back):
         if start[t].any():
             d_state[start[t]] = 0
     symbols, flat = read.ravel(), d_x.reshape(-1, 3 * units)
-    order = np.argsort(symbols, kind="stable")
-    first = np.flatnonzero(np.concatenate([[True], symbols[order][1:] != symbols[order][:-1]]))
-    grad["x"][symbols[order][first]] += np.add.reduceat(flat[order], first, axis=0)
+    order = np.argsort(symbols.astype(np.uint16), kind="stable")
+    held = symbols[order]
+    first = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
+    grad["x"][held[first]] += np.add.reduceat(flat[order], first, axis=0)
 
 
 class Adam:

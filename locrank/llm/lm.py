@@ -39,12 +39,12 @@ _SHAPES = 8
 
 
 def shapes(words):
-    """What words that are no symbols have in common: last character, length and script."""
+    """What the words of a binary array that are no symbols have in common: last character, length and script."""
     if not len(words):
         return np.zeros(0, np.int64)
-    ends = np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False), dtype=np.int64)
-    starts = np.concatenate([[0], ends[:-1]])
-    data = np.frombuffer(b"".join(words.to_pylist()), np.uint8)
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8)[: offsets[-1]]
+    starts, ends = offsets[:-1], offsets[1:]
     stop = np.isin(data[ends - 1], np.frombuffer(b".,:;!?", np.uint8))
     wide = np.maximum.reduceat(data, starts) >= 0x80
     return stop + 2 * (ends - starts > 6) + 4 * wide
