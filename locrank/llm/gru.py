@@ -11,7 +11,7 @@ import heapq
 import numpy as np
 
 #: Units of the state.
-UNITS = 12
+UNITS = 16
 #: Steps of a window and streams side by side, in training and in scoring.
 TRAIN_STEPS, TRAIN_STREAMS, SCORE_STEPS, SCORE_STREAMS = 16, 256, 32, 1024
 

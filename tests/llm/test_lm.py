@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from locrank.llm import gru
+from locrank.llm import gru, lm
 from locrank.llm.lm import op8_lm, scores
 
 
@@ -89,3 +89,10 @@ def test_scores_are_probabilities_and_do_not_depend_on_neighbours():
 def test_held_out_documents_are_more_likely_under_the_network(spark):
     found = op8_lm(spark, "/root/testdata/sf0.01").where("held_out").collect()
     assert sum(r.score for r in found) > 0.97 * sum(r.base_score for r in found)
+
+
+def test_size_of_the_network(frame):
+    assert lm.SYMBOLS >= 2048 and lm.CLASSES >= 32 and gru.UNITS >= 16
+    words = [f"w{n}" for n in range(2100) for _ in range(2)]
+    counts = lm.word_counts(frame([(1, " ".join(words))]).select("text"))
+    assert len(lm.Vocabulary(counts, 1 << 21).symbols) == 2048
