@@ -56,8 +56,8 @@ def initial(counts, starts, units=UNITS):
 def streams(documents, width):
     """Documents dealt out to `width` streams of nearly equal length, longest documents first.
 
-    documents are symbol arrays. Returns target symbols, start flags and document numbers, each as an
-    array per stream, the longest stream first.
+    documents are symbol arrays. Returns the numbers of the documents of each stream, and the
+    streams' lengths, the longest stream first.
     """
     order = sorted(range(len(documents)), key=lambda k: -len(documents[k]))
     width = max(1, min(width, len(documents)))
@@ -68,39 +68,34 @@ def streams(documents, width):
         heapq.heapreplace(heap, (held + len(documents[k]), stream))
         members[stream].append(k)
         lengths[stream] += len(documents[k])
-    out = []
-    for stream in sorted(range(width), key=lambda s: -lengths[s]):
-        parts = members[stream]
-        symbols = np.concatenate([documents[k] for k in parts]).astype(np.int64)
-        sizes = [len(documents[k]) for k in parts]
-        first = np.zeros(len(symbols), bool)
-        first[np.cumsum([0, *sizes[:-1]])] = True
-        out.append((symbols, first, np.repeat(parts, sizes)))
-    return out
+    by_length = sorted(range(width), key=lambda s: -lengths[s])
+    return [members[stream] for stream in by_length], np.array([lengths[stream] for stream in by_length])
 
 
 def windows(documents, width, start_symbol, steps):
     """Windows (inputs, targets, starts, documents) of shape (steps, streams still running).
 
     Streams end at different steps; a window has only streams that run through it, and the last steps
-    of a stream form shorter windows.
+    of a stream form shorter windows. Streams lie one after the other and a window is gathered when it
+    is used, so memory goes with the symbols, not with the longest document times the streams.
     """
-    all_streams = streams(documents, width)
-    lengths = np.array([len(s[0]) for s in all_streams])
-    size = lengths[0]
-    target = np.full((size, len(lengths)), -1, np.int64)
-    start = np.zeros((size, len(lengths)), bool)
-    number = np.full((size, len(lengths)), -1, np.int64)
-    for k, (symbols, first, docs) in enumerate(all_streams):
-        target[: len(symbols), k], start[: len(symbols), k], number[: len(symbols), k] = symbols, first, docs
-    read = np.vstack([np.full((1, len(lengths)), start_symbol), target[:-1]])
-    read[start] = start_symbol
-    at = 0
+    members, lengths = streams(documents, width)
+    parts = [k for members_of in members for k in members_of]
+    sizes = np.array([len(documents[k]) for k in parts])
+    symbols = np.concatenate([documents[k] for k in parts])
+    number = np.repeat(np.array(parts, np.int32), sizes)
+    first = np.zeros(len(symbols), bool)
+    first[np.cumsum(sizes) - sizes] = True
+    offsets = np.cumsum(lengths) - lengths
+    at, size = 0, int(lengths[0])
     while at < size:
         running = int((lengths > at).sum())
         end = min(at + steps, int(lengths[running - 1]))
-        rows = slice(at, end), slice(0, running)
-        yield read[rows], target[rows], start[rows], number[rows]
+        cells = offsets[:running] + np.arange(at, end)[:, None]
+        start = first[cells]
+        # The symbol before the first one is not read: a document starts there.
+        read = np.where(start, start_symbol, symbols[cells - 1].astype(np.int64))
+        yield read, symbols[cells].astype(np.int64), start, number[cells]
         at = end
 
 

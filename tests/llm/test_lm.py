@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -96,3 +97,20 @@ def test_size_of_the_network(frame):
     words = [f"w{n}" for n in range(2100) for _ in range(2)]
     counts = lm.word_counts(frame([(1, " ".join(words))]).select("text"))
     assert len(lm.Vocabulary(counts, 1 << 21).symbols) == 2048
+
+
+def test_one_very_long_document_beside_short_ones():
+    draw = np.random.default_rng(3)
+    starts = np.array([0, 2, 3, 4])
+    class_of = np.array([0, 0, 1, 2])
+    vector = gru.initial(np.array([5.0, 3.0, 2.0, 1.0]), starts)
+    vector += draw.normal(0, 0.2, len(vector)).astype(np.float32)
+    short = [draw.integers(0, 4, 40).astype(np.uint16) for _ in range(1000)]
+    long = draw.integers(0, 4, 500_000).astype(np.uint16)
+    alone = gru.score(vector, short, starts, class_of, 3)
+    tracemalloc.start()
+    found = gru.score(vector, [*short, long], starts, class_of, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200_000_000
+    assert np.allclose(found[:-1], alone, rtol=1e-4) and np.isfinite(found[-1]) and found[-1] < 0
