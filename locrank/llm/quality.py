@@ -1,9 +1,10 @@
 """Quality rules with robust multivariate outliers.
 
 Documents that pass the base rules get a vector of transformed statistics. For every language and
-source the minimum covariance determinant (MCD) gives a centre and a scatter: those of the share
-`SHARE` of documents whose scatter has the smallest determinant, found by concentration steps from
-two deterministic starts. A document whose Mahalanobis distance is beyond the cutoff is rejected.
+source the minimum covariance determinant (MCD) gives a centre and a scatter: those of the half
+of the documents whose scatter has the smallest determinant, found by concentration steps from two
+deterministic starts; then those of all documents near that centre. So up to nearly half of a group
+can be outliers. A document whose Mahalanobis distance is beyond the cutoff is rejected.
 """
 
 from collections import Counter
@@ -20,15 +21,16 @@ MAX_REPEAT_PERCENT = 20
 SPAN = 5
 SYMBOLS = b"#*$%&|<>"
 
-#: Share of a group's documents that the estimate rests on.
-SHARE = 0.75
 #: A language and source with fewer documents takes the estimate of its language, that of all if need be.
 MIN_DOCUMENTS = 200
 STEPS = 5
 #: Squared distance beyond which a vector is an outlier: the 1 - 1e-9 quantile of chi-square with 4 degrees.
 CUTOFF = 47.0
-#: For 4 dimensions and a share of 0.75: what makes the covariance of the closest documents that of all.
-CONSISTENCY = 1.485
+#: For 4 dimensions: what makes the covariance of the closest half of the documents that of all.
+CONSISTENCY = 2.109
+#: Squared distance within which documents count for the last estimate, the 0.975 quantile, and what makes
+#: their covariance that of all.
+NEAR, NEAR_CONSISTENCY = 11.143, 1.0645
 #: Most groups whose estimates are sent to every task; beyond, they are joined by shuffle.
 MAX_BROADCAST_GROUPS = 20_000
 
@@ -98,7 +100,7 @@ def statistics(docs):
     return rows.mapInArrow(scan, ", ".join(kinds)).withColumn("base_failed", F.expr(failed))
 
 
-def _estimates(rows, sums):
+def _estimates(rows, sums, consistency=CONSISTENCY):
     """mu, precision and log determinant of groups, from sums of vectors and of their products."""
     floors = np.diag([floor**2 for _, floor in FEATURES.values()])
 
@@ -109,7 +111,7 @@ def _estimates(rows, sums):
             scatter = np.empty((len(frame), _P, _P))
             for i, j in _PAIRS:
                 scatter[:, i, j] = scatter[:, j, i] = frame[f"q{i}{j}"] / n[:, 0] - mu[:, i] * mu[:, j]
-            scatter = scatter * CONSISTENCY + floors
+            scatter = scatter * consistency + floors
             out = frame[[*rows]].copy()
             out["mu"] = list(mu)
             out["precision"] = list(np.linalg.inv(scatter).reshape(-1, _P * _P))
@@ -145,23 +147,28 @@ def minimum_covariance(vectors, steps=STEPS):
     """g, n, mu, precision of every group g of vectors(g, x0, x1, ...) with MIN_DOCUMENTS rows or more.
 
     A concentration step takes the distances from the last estimate, and the next estimate from the
-    closest SHARE of the rows. Rows are combined in the map tasks into sums per group and narrow
+    closest half of the rows. Rows are combined in the map tasks into sums per group and narrow
     range of distances, so a step costs one scan and a shuffle of a few hundred rows per group and
-    task, whatever the size of a group, and no row is left out of it.
+    task, whatever the size of a group, and no row is left out of it. Of both starts the estimate with
+    the smaller determinant is taken, and estimated once more from all rows within NEAR of it.
     """
     whole = keep(_moments(["g"], vectors).where(F.col("n") >= MIN_DOCUMENTS), "quality-groups")
     groups = whole.count()
     sizes = whole.select("g", F.col("n").alias("size"))
-    # One start is the classical estimate, the other the medians with the spread of the middle half.
-    quartiles = [F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 1000).alias(f"t{i}") for i in range(_P)]
-    middle = vectors.groupBy("g").agg(F.count("*").alias("n"), *quartiles).where(F.col("n") >= MIN_DOCUMENTS)
-    width = [(F.col(f"t{i}")[2] - F.col(f"t{i}")[0]) / 1.349 for i in range(_P)]
+    # One start is the classical estimate, the other the medians with the median deviations from them.
+    centres = [F.percentile_approx(f"x{i}", 0.5, 1000).alias(f"m{i}") for i in range(_P)]
+    centres = vectors.groupBy("g").agg(F.count("*").alias("n"), *centres).where(F.col("n") >= MIN_DOCUMENTS)
+    centres = keep(centres, "quality-medians")
+    deviations = [F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5, 1000).alias(f"d{i}") for i in range(_P)]
+    deviations = vectors.join(_bounded(centres, groups), "g").groupBy("g").agg(*deviations)
+    middle = centres.join(_bounded(deviations, groups), "g")
+    width = [1.4826 * F.col(f"d{i}") for i in range(_P)]
     middle = middle.select(
         "g",
         "n",
-        *((F.col("n") * F.col(f"t{i}")[1]).alias(f"s{i}") for i in range(_P)),
+        *((F.col("n") * F.col(f"m{i}")).alias(f"s{i}") for i in range(_P)),
         *(
-            (F.col("n") * (F.col(f"t{i}")[1] * F.col(f"t{j}")[1] + (width[i] * width[i] if i == j else 0))).alias(f"q{i}{j}")
+            (F.col("n") * (F.col(f"m{i}") * F.col(f"m{j}") + (width[i] * width[i] if i == j else 0))).alias(f"q{i}{j}")
             for i, j in _PAIRS
         ),
     )
@@ -173,12 +180,14 @@ def minimum_covariance(vectors, steps=STEPS):
         binned = _moments(["g", "start", "bin"], placed).join(_bounded(sizes, groups), "g")
         order = Window.partitionBy("g", "start").orderBy("bin")
         closer = F.sum("n").over(order) - F.col("n")
-        closest = binned.withColumn("closer", closer).where(F.col("closer") < SHARE * F.col("size"))
+        closest = binned.withColumn("closer", closer).where(F.col("closer") < (F.col("size") + _P + 1) / 2)
         names = ["n", *(f"s{i}" for i in range(_P)), *(f"q{i}{j}" for i, j in _PAIRS)]
         sums = closest.groupBy("g", "start").agg(*(F.sum(name).alias(name) for name in names))
         found = keep(_estimates(["g", "start"], sums), "quality-estimates")
     best = found.groupBy("g").agg(F.min_by(F.struct("mu", "precision"), F.col("logdet") + F.col("start") * 1e-9).alias("e"))
-    return best.select("g", "e.mu", "e.precision"), groups
+    best = keep(best.select("g", "e.mu", "e.precision"), "quality-concentrated")
+    near = vectors.join(_bounded(best, groups), "g").where(_distance() <= NEAR)
+    return _estimates(["g"], _moments(["g"], near), NEAR_CONSISTENCY).select("g", "mu", "precision"), groups
 
 
 def _group(*names):

@@ -55,6 +55,25 @@ def test_outliers_do_not_hide_each_other_and_clean_documents_stay(spark):
     assert sorted(r.doc_id for r in without_rejected(frame).collect()) == sorted(n for n, good in kept.items() if good)
 
 
+def test_a_third_of_a_source_are_copies(spark):
+    """Copies of one text, and variants of it, that pass the base rules do not hide each other."""
+    draw = random.Random(7)
+
+    def text(symbols):
+        words = ["".join(draw.choices("abcdefgh", k=draw.randint(2, 9))) for _ in range(draw.randint(60, 200))]
+        return " ".join(w + ("%%%" if draw.random() < symbols else "") for w in words)
+
+    copy = text(0.9)
+    docs = [(n, copy if n % 3 == 0 else text(0.0), "en", "copies") for n in range(600)]
+    docs += [(n, text(0.9 if n % 10 in (0, 3, 6) else 0.0), "en", "variants") for n in range(1000, 1600)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    found = judged(frame).collect()
+    assert not any(r.base_failed for r in found)
+    kept = {r.doc_id: r.kept for r in found}
+    assert all(kept[n] == (n % 3 != 0) for n in range(600))
+    assert all(kept[n] == (n % 10 not in (0, 3, 6)) for n in range(1000, 1600))
+
+
 def test_all_columns_and_repeated_rows_stay(spark, frame, edge_cases):
     kept = without_rejected(frame([*edge_cases, (30, " ".join(f"w{n}" for n in range(50)))] * 2))
     assert kept.columns == frame(edge_cases).columns
