@@ -74,6 +74,22 @@ def test_a_third_of_a_source_are_copies(spark):
     assert all(kept[n] == (n % 10 not in (0, 3, 6)) for n in range(1000, 1600))
 
 
+def test_a_small_source_has_an_estimate_of_its_own(spark):
+    """Sixty documents with symbols, a sixth without: the others of the language have none."""
+    draw = random.Random(8)
+
+    def text(symbols):
+        words = ["".join(draw.choices("abcdefgh", k=draw.randint(2, 9))) for _ in range(draw.randint(60, 200))]
+        return " ".join(w + ("%%%" if draw.random() < symbols else "") for w in words)
+
+    docs = [(n, text(0.0), "en", "large") for n in range(600)]
+    docs += [(n, text(0.0 if n % 6 == 0 else 0.9), "en", "small") for n in range(1000, 1060)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in judged(frame).collect()}
+    assert all(kept[n] for n in range(600))
+    assert all(kept[n] == (n % 6 != 0) for n in range(1000, 1060))
+
+
 def test_all_columns_and_repeated_rows_stay(spark, frame, edge_cases):
     kept = without_rejected(frame([*edge_cases, (30, " ".join(f"w{n}" for n in range(50)))] * 2))
     assert kept.columns == frame(edge_cases).columns
