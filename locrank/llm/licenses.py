@@ -4,6 +4,10 @@ A template is text with markup: `<<opt>> ... <<end>>` may be left out, `<<var N>
 N words of any kind, everything else is mandatory wording. It is compiled to an automaton over
 words; a text is accepted where the automaton reads it from the first mandatory word to the last
 without a difference in mandatory wording. Case, punctuation and line breaks are not compared.
+
+After `<<rest>>` comes wording that an excerpt may lack as a whole: a text that ends its likeness
+there is accepted too, unless what follows holds some of that wording, changed or moved. Of
+templates that accept a text from the same word on, the one that reads furthest owns it.
 """
 
 import re
@@ -24,7 +28,28 @@ PHRASES = {
 _WARRANTY = (
     "THIS SOFTWARE IS PROVIDED BY <<opt>>THE<<end>> <<var 12>> AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, "
     "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE "
-    "ARE DISCLAIMED."
+    "ARE DISCLAIMED. IN NO EVENT SHALL <<opt>>THE<<end>> <<var 12>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE "
+    "USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of <<var 6>> and associated "
+    "documentation files<<opt>> (the Software)<<end>>, to deal in the Software without restriction, including "
+    "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+    "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+    "following conditions: The above copyright notice and this permission notice <<opt>>(including the next "
+    "paragraph)<<end>> shall be included in all copies or substantial portions of the Software. "
+)
+
+_MIT_WARRANTY = (
+    "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+    "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. "
+    "IN NO EVENT SHALL <<opt>>THE<<end>> <<var 12>> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+    "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+    "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. "
 )
 
 _REDISTRIBUTION = (
@@ -37,20 +62,23 @@ _REDISTRIBUTION = (
 
 #: Public license texts and notices, by label.
 TEMPLATES = [
+    ("mit", _GRANT + "<<rest>>" + _MIT_WARRANTY),
+    ("json", _GRANT + "The Software shall be used for Good, not Evil. <<rest>>" + _MIT_WARRANTY),
     (
-        "mit",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of <<var 6>> and associated "
-        "documentation files<<opt>> (the Software)<<end>>, to deal in the Software without restriction, including "
-        "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
-        "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
-        "following conditions: The above copyright notice and this permission notice <<opt>>(including the next "
-        "paragraph)<<end>> shall be included in all copies or substantial portions of the Software.",
+        "x11",
+        _GRANT + _MIT_WARRANTY + "Except as contained in this notice, the name<<opt>>(s)<<end>> of <<var 12>> "
+        "shall not be used in advertising or otherwise to promote the sale, use or other dealings in this Software "
+        "without prior written authorization from",
     ),
     (
         "isc",
         "Permission to use, copy, modify, and<<opt>>/or<<end>> distribute this software for any purpose with or without "
         "fee is hereby granted, provided that the above copyright notice and this permission notice appear in all "
-        "copies.",
+        "copies. THE SOFTWARE IS PROVIDED AS IS AND <<var 12>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<var 12>> BE LIABLE FOR ANY "
+        "SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA "
+        "OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     ),
     ("bsd-2-clause", _REDISTRIBUTION + _WARRANTY),
     (
@@ -69,19 +97,22 @@ TEMPLATES = [
     ("cc-by-4.0", "licensed under <<opt>>a Creative Commons<<end>> CC BY 4.0"),
 ]
 
-_MARKUP = re.compile(r"<<(opt|end|var) ?(\d*)>>")
+_MARKUP = re.compile(r"<<(opt|end|var|rest) ?(\d*)>>")
 
 #: Words that start the search for a template.
 _ANCHOR = 3
+#: Words in a row of the wording after `<<rest>>` that show that a text holds some of it.
+_LIKE = 4
 
 
 def compiled(template):
-    """(anchor, words, skips): the automaton of a template, as far as it reads from its anchor on.
+    """(anchor, words, skips, total, mandatory, rest): the automaton of a template from its first
+    mandatory word on, which is where its anchor begins. rest is the state at `<<rest>>`, or None.
 
     State k reads words[k] and goes to k + 1; None reads any word. skips[k] are the states that can
     be reached from k without reading: over an optional region, or out of a replaceable one.
     """
-    words, skips, mandatory, opened = [], {}, [], []
+    words, skips, mandatory, opened, rest = [], {}, [], [], None
     at = 0
     for mark in [*_MARKUP.finditer(template), None]:
         plain = alphanumeric_words(template[at : mark.start() if mark else None].encode())
@@ -94,23 +125,33 @@ def compiled(template):
             opened.append(len(words))
         elif mark[1] == "end":
             skips.setdefault(opened.pop(), set()).add(len(words))
+        elif mark[1] == "rest":
+            rest = len(words)
         else:
             end = len(words) + int(mark[2])
             for state in range(len(words), end):
                 skips.setdefault(state, set()).add(end)
             words += [None] * int(mark[2])
             mandatory += [False] * int(mark[2])
-    start = next(k for k in range(len(words)) if all(mandatory[k : k + 2]) and len(mandatory[k : k + 2]) == 2)
+    start = mandatory.index(True)
     length = next((k for k in range(1, _ANCHOR) if not all(mandatory[start : start + k + 1])), _ANCHOR)
     length = min(length, len(words) - start)
     skips = {k - start: {to - start for to in v} for k, v in skips.items() if k >= start}
-    return words[start : start + length], words[start:], skips, sum(mandatory[start:]), mandatory[start:]
+    rest = None if rest is None else rest - start
+    return words[start : start + length], words[start:], skips, sum(mandatory[start:]), mandatory[start:], rest
+
+
+def _runs(words):
+    """The runs of _LIKE words in a row; words of None are of any kind and in no run."""
+    runs = {tuple(words[k : k + _LIKE]) for k in range(len(words) - _LIKE + 1)}
+    return {run for run in runs if None not in run}
 
 
 def read(automaton, words, at):
     """(end, share): the end of the shortest accepted text from words[at] on, or None, and the share
-    of the mandatory wording that was read before the text departed from it."""
-    _, pattern, skips, total, mandatory = automaton
+    of the mandatory wording that was read before the text departed from it. An excerpt without the
+    wording after `<<rest>>` is accepted where none of it follows, in twice as many words."""
+    _, pattern, skips, total, mandatory, rest = automaton
     done = [0]
     for flag in mandatory:
         done.append(done[-1] + flag)
@@ -124,17 +165,26 @@ def read(automaton, words, at):
                     todo.append(to)
         return out
 
-    states, best = closed({0}), 0
+    def departed():
+        if excerpt is not None:
+            following = words[excerpt : excerpt + 2 * (len(pattern) - rest)]
+            if _runs(pattern[rest:]).isdisjoint(_runs(following)):
+                return excerpt, 1.0
+        return None, best / total
+
+    states, best, excerpt = closed({0}), 0, None
     while True:
+        if rest in states:
+            excerpt = at
         best = max(best, *(done[state] for state in states))
         if len(pattern) in states:
             return at, 1.0
         if at == len(words):
-            return None, best / total
+            return departed()
         word = words[at]
         states = closed({k + 1 for k in states if pattern[k] is None or pattern[k] == word})
         if not states:
-            return None, best / total
+            return departed()
         at += 1
 
 
@@ -157,13 +207,14 @@ def scan_text(text, phrases, automata):
     found = [(label, place) for phrase, label in phrases for place in _places(joined, phrase)]
     places = [place for _, place in found]
     base = {label for label, _ in found}
-    labels, share = set(base), 0.5 if base else 0.0
+    share, accepted = 0.5 if base else 0.0, {}
     for label, automaton in automata:
         for place in _places(joined, b" ".join(automaton[0])):
             end, read_share = read(automaton, words, place)
             if end is not None:
-                labels.add(label)
+                accepted.setdefault(place, {}).setdefault(end, set()).add(label)
             share = max(share, 1.0 if end is not None else read_share / 2)
+    labels = base.union(*(ends[max(ends)] for ends in accepted.values()))
     first, last = (min(places), max(places)) if places else (None, None)
     return len(words), len(places), first, last, sorted(base), sorted(labels), share
 
@@ -174,7 +225,8 @@ def license_scan(docs, phrases=None, templates=None):
 
     n_base counts the places of all phrases, overlapping ones too; first_word and last_word are the
     smallest and the largest word at which one starts, null without any. labels adds to base_labels
-    those of templates that accept a part of the text. score is 1 with an accepted template, else the
+    those of templates that accept a part of the text; of several from the same word on the one that
+    reads furthest. score is 1 with an accepted template, else the
     larger of 0.5 for a phrase and half the largest share of a template's mandatory words that was
     read from its start.
 

@@ -50,6 +50,44 @@ def test_templates_accept_only_the_exact_mandatory_wording():
     assert labels("no license at all") == ([], 0.0)
 
 
+WARRANTY = """
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def test_wording_up_to_the_last_clause():
+    automata = [(label, compiled(text)) for label, text in TEMPLATES]
+
+    def labels(text):
+        return scan_text(text.encode(), [], automata)[5:]
+
+    grant = MIT.replace(" More text.", "")
+    assert labels(grant + WARRANTY + " int main()") == (["mit"], 1.0)
+    good = " The Software shall be used for Good, not Evil."
+    assert labels(grant + good + WARRANTY) == (["json"], 1.0) and labels(grant + good) == (["json"], 1.0)
+    except_ = " Except as contained in this notice, the name of Some Body shall not be used in advertising or otherwise to "
+    except_ += "promote the sale, use or other dealings in this Software without prior written authorization from Some Body."
+    assert labels(grant + WARRANTY + except_) == (["x11"], 1.0)
+    changed = [WARRANTY.replace(*c) for c in [("WITHOUT", "WITH"), ("NONINFRINGEMENT", ""), ("THE SOFTWARE IS", "THE PROGRAM IS"), ("TORT OR", ""), ("IN NO", "IN ANY")]]
+    for warranty in [*changed, " Pay first." + WARRANTY, WARRANTY[: WARRANTY.index("IN NO EVENT")]]:
+        found, score = labels(grant + warranty)
+        assert found == [] and 0 < score < 0.5
+    filled = {"isc": "the author", "bsd-2-clause": "the holders", "bsd-3-clause": "the holders"}
+    for label, name in filled.items():
+        template = dict(TEMPLATES)[label]
+        text = re.sub(r"<<(opt|end|var \d+)>>", lambda m: f" {name} " if m[1][0] == "v" else " ", template).replace("the the", "the")
+        assert labels(text) == ([label], 1.0)
+        assert labels(text[: text.index("IN NO EVENT")])[0] == [] and labels(text.replace("CONSEQUENTIAL", ""))[0] == []
+
+
+def test_mandatory_words_before_an_optional_region_are_read():
+    automata = [("x", compiled("alpha <<opt>>x<<end>> beta gamma"))]
+    for text, found in [("alpha beta gamma", ["x"]), ("alpha x beta gamma", ["x"]), ("beta gamma", []), ("so x beta gamma", [])]:
+        assert scan_text(text.encode(), [], automata)[5] == found
+
+
 def test_edge_cases(spark, frame, edge_cases):
     texts = [*edge_cases, (40, "MIT-License mit license cc by cc by, GNU general public license"), (41, MIT)]
     found = license_scan(frame(texts)).collect()
