@@ -14,11 +14,11 @@ from locrank.llm.quality import judged
 from locrank.llm.queries import ORACLE, QUERIES
 from locrank.storage import keep
 
-TABLES = "documents pages benchmark conversations".split()
+TABLES = "documents embeddings pages benchmark conversations".split()
 
 
 def test_all_queries_are_registered():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry_point.queries())
     assert set(ORACLE) <= set(entry_point.oracle_sql())
 

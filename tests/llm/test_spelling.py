@@ -1,0 +1,125 @@
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
+
+from locrank.llm.spelling import altered, chunks, near_pairs, roots, variants, word_counts
+
+
+def one_edit(a, b):
+    if a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(a) + 1 == len(b) and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def pairs_by_hand(words):
+    words = sorted({w for w in words if w and len(w) > 1})
+    return {(a, b) for i, a in enumerate(words) for b in words[i + 1 :] if one_edit(a, b)}
+
+
+def pairs(spark, words, **more):
+    frame = spark.createDataFrame([(w, 1) for w in words], "word string, key int")
+    found = [tuple(r) for r in near_pairs(frame, **more).collect()]
+    assert len(found) == len(set(found))
+    return set(found)
+
+
+def edited(draw, word, letters):
+    at, kind = draw.randrange(len(word)), draw.random()
+    if kind < 0.3:
+        return word[:at] + word[at + 1 :]
+    return word[:at] + draw.choice(letters) + word[at + (kind < 0.6) :]
+
+
+def test_near_pairs_against_all_pairs(spark):
+    draw = random.Random(13)
+    words = ["".join(draw.choices("abcé", k=draw.randint(1, 14))) for _ in range(150)]
+    words += [edited(draw, w, "abcé") for w in words for _ in range(2)] + [edited(draw, edited(draw, w + "a", "ab") + "a", "ab") for w in words]
+    words += ["", None, "a", "b", "ab", words[0], "x" * 5000, "x" * 4999, "x" * 4998 + "y"]
+    assert pairs(spark, words) == pairs_by_hand(words)
+    assert pairs(spark, []) == set()
+
+
+def test_hot_chunks_are_refined(spark):
+    """Half of every word is shared; keys of more than four pairs are dealt out by the rest, again and again."""
+    draw = random.Random(14)
+    words = {"prefix" + "".join(draw.choices("abc", k=6)) for _ in range(250)}
+    words |= {"".join(draw.choices("abc", k=5)) + "suffix" for _ in range(100)}
+    words |= {edited(draw, w, "abc") for w in list(words)} | {"q" * 7 + a + b for a in "abcdef" for b in "abcdef"}
+    expected = pairs_by_hand(words)
+    assert pairs(spark, words, meeting=4) == expected
+    assert pairs(spark, words, meeting=0) == expected
+    assert pairs(spark, words) == expected
+
+
+def test_a_word_contributes_two_disjoint_chunks(spark):
+    frame = spark.createDataFrame([(0, "abcdefg", "abcdefg")], "key long, word string, rest string")
+    assert sorted(r.rest for r in chunks(frame).collect()) == ["abcg", "defg"]
+
+
+def by_hand(docs):
+    counts = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 7}
+
+
+def variants_by_hand(counts):
+    near = defaultdict(list)
+    for a, b in pairs_by_hand(counts):
+        near[a].append(b)
+        near[b].append(a)
+    forms = {}
+    for w, others in near.items():
+        best = min(others, key=lambda o: (-counts[o], o))
+        if counts[best] >= 10 * counts[w]:
+            forms[w] = best
+    out = set()
+    for w, n in counts.items():
+        root = w
+        while root in forms:
+            root = forms[root]
+        out.add((w, forms.get(w), root, n, len(near[w]), counts[forms[w]] if w in forms else None))
+    return out
+
+
+def test_counts(spark, frame, edge_cases):
+    draw = random.Random(15)
+    words = ["".join(draw.choices("abcÀÿ×Z", k=draw.randint(5, 12))) for _ in range(60)]
+    docs = [*edge_cases, *((n, " ".join(draw.choices(words, k=80)) + " naïveté-NAÏVETÉ x" + "y" * 9000) for n in range(100, 140))]
+    found = word_counts(frame(docs)).collect()
+    assert {r.word: r.n for r in found} == by_hand(docs) and len(found) == len(by_hand(docs))
+    assert word_counts(frame([])).count() == 0
+    assert altered(None, "abc") == "abc" or len(altered(None, "abc")) == 2
+
+
+def test_variants_against_all_pairs(spark):
+    draw = random.Random(16)
+    counts = {}
+    for n in range(60):
+        word = "".join(draw.choices("abcde", k=draw.randint(7, 10)))
+        counts[word] = draw.choice([3000, 200, 20])
+        for k in range(4):
+            word = edited(draw, word, "abcdeé") + ("a" if len(word) < 7 else "")
+            counts.setdefault(word, max(2, counts.get(word, 1000) // draw.choice([1, 10, 12])) if k else draw.choice([2, 20, 300]))
+    frame = spark.createDataFrame(list(counts.items()), "word string, n long").withColumn("form", F.lit(1))
+    found = variants(frame)
+    assert {tuple(r) for r in found.collect()} == variants_by_hand(counts)
+    assert found.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert variants(frame.limit(0)).count() == 0
+
+
+def test_long_ways_to_the_root(spark):
+    ways = [(f"w{n}", f"w{n + 1}") for n in range(20)]
+    found = roots(spark.createDataFrame(ways, "word string, form string")).collect()
+    assert {(r.word, r.root) for r in found} == {(f"w{n}", "w20") for n in range(20)}
