@@ -80,48 +80,40 @@ def _part(start, length):
     return F.substring(F.col("rest"), start + 1, length)
 
 
-def _without(start, length):
-    return F.concat(_part(F.lit(0), start), _part(start + length, F.char_length("rest")))
-
-
-def _keyed(rows, entries):
-    """key, word, rest of rows(key, word, rest) for entries (length of the chunk's word, chunk, start, length)."""
-    signs = [
-        F.when(
-            usable,
-            F.struct(
-                F.xxhash64("key", whole.cast("int"), F.lit(chunk), _part(start, length)).alias("key"),
-                _without(start, length).alias("rest"),
-            ),
-        )
-        for usable, whole, chunk, start, length in entries
-    ]
-    signs = F.explode(F.array_distinct(F.filter(F.array(*signs), lambda sign: sign.isNotNull())))
-    return rows.select("word", signs.alias("sign")).select("sign.key", "word", "sign.rest")
+def _keyed(rows, places):
+    """key, word, rest, start, length, more of rows(key, word, rest, only).
+
+    places: (more, chunk, shift) for parts that can equal the chunk of a word that has `more` code
+    points more, at that chunk's place shifted by `shift`. If only is given, more can be nothing else.
+    """
+    each = F.array(*(F.struct(*map(F.lit, place)) for place in places))
+    whole = F.char_length("rest") + F.col("more")
+    dealt = rows.select("*", F.inline(each).alias("more", "chunk", "shift")).where("only is null or only = more")
+    dealt = dealt.withColumn("whole", whole).withColumn("length", F.shiftright("whole", 1))
+    dealt = dealt.withColumn("start", F.col("length") * F.col("chunk") + F.col("shift"))
+    dealt = dealt.where("length > 0 and start >= 0 and start + length <= whole - more")
+    key = F.xxhash64("key", "whole", "chunk", _part(F.col("start"), F.col("length"))).alias("key")
+    return dealt.select(key, "word", "rest", "start", "length", "more")
+
+
+def _rests(keyed):
+    """key, word, what is left of rest without the shared part, and the known difference of lengths."""
+    before, after = _part(F.lit(0), F.col("start")), _part(F.col("start") + F.col("length"), F.char_length("rest"))
+    return keyed.select("key", "word", F.concat(before, after).alias("rest"), F.col("more").alias("only"))
 
 
 def chunks(rows):
     """The two disjoint chunks of rows(key, word, rest), keyed by the length they come from and their number."""
-    size = F.char_length("rest")
-    q = F.floor(size / 2).cast("int")
-    return _keyed(rows, [(q > 0, size, chunk, q * chunk, q) for chunk in (0, 1)])
+    return _keyed(rows, [(0, chunk, 0) for chunk in (0, 1)])
 
 
 def grams(rows):
     """The positional grams of rows(key, word, rest) that can equal a chunk of a word one edit away.
 
-    Such a word is as long, one longer or one shorter; its chunk is at the same place here, or
-    shifted by the difference. Grams at other places meet no chunk and are left out.
+    Chunks come from the longer word of a pair, so such a word is as long or one longer; its chunk
+    is at the same place here, or shifted by the difference. Grams elsewhere meet no chunk and are left out.
     """
-    size, entries = F.char_length("rest"), []
-    for more in (0, 1, -1):
-        whole = size + more
-        q = F.floor(whole / 2).cast("int")
-        for chunk in (0, 1):
-            for shift in {0, -more}:
-                start = q * chunk + shift
-                entries.append(((q > 0) & (start >= 0) & (start + q <= size), whole, chunk, start, q))
-    return _keyed(rows, entries)
+    return _keyed(rows, [(0, 0, 0), (0, 1, 0), (1, 0, 0), (1, 1, 0), (1, 1, -1)])
 
 
 def near_pairs(words, meeting=MEETING):
@@ -130,13 +122,13 @@ def near_pairs(words, meeting=MEETING):
     * Null words and those of less than two code points, which have no two chunks, are near nothing;
       repeated words count once. No words give no row.
 
-    Both sides of a key are shuffled by it, twelve short rows per word at most. Keys where more than
+    Both sides of a key are shuffled by it, seven short rows per word at most. Keys where more than
     `meeting` pairs would meet are counted first and refined by the rest of their words; a rest of
     at most one code point on the chunk's side ends that, as the words of such a key differ in two
     code points at most. No key is dropped.
     """
     level = words.where(F.char_length("word") > 1).select(F.lit(0).cast("long").alias("key"), "word", F.col("word").alias("rest"))
-    level = level.distinct()
+    level = level.distinct().withColumn("only", F.lit(None).cast("int"))
     left, right = chunks(level), grams(level)
     found = None
     while True:
@@ -145,24 +137,25 @@ def near_pairs(words, meeting=MEETING):
         sizes = sizes.join(right.groupBy("key").agg(F.count("*").alias("grams")), "key")
         hot = keep(sizes.where(F.col("chunks") * F.col("grams") > meeting).select("key"), "spelling-hot")
         refined = not hot.isEmpty()
-        short = F.char_length("rest") < 2
+        left_over = F.char_length("rest") - F.col("length")
         if refined:
             apart = hot.withColumn("hot", F.lit(True))
             left, right = left.join(apart, "key", "left"), right.join(apart, "key", "left")
-            few_left = left.where(F.col("hot").isNull() | short)
-            few_right = right.where(F.col("hot").isNull() | (F.char_length("rest") < 3))
+            few_left = left.where(F.col("hot").isNull() | (left_over < 2))
+            few_right = right.where(F.col("hot").isNull() | (left_over < 3))
         else:
             few_left, few_right = left, right
         a = few_left.select("key", F.col("word").alias("one"))
-        b = few_right.select("key", F.col("word").alias("other"))
-        near = (F.col("one") < F.col("other")) & (F.levenshtein("one", "other", 1) == 1)
-        pairs = a.join(b, "key").where(near).select(F.col("one").alias("a"), F.col("other").alias("b"))
+        b = few_right.select("key", F.col("word").alias("other"), "more")
+        # Words of equal length meet in both directions.
+        near = ((F.col("more") > 0) | (F.col("one") < F.col("other"))) & (F.levenshtein("one", "other", 1) == 1)
+        pairs = a.join(b, "key").where(near).select(F.least("one", "other").alias("a"), F.greatest("one", "other").alias("b"))
         pairs = keep(pairs.distinct(), "spelling-pairs")
         found = pairs if found is None else found.unionAll(pairs)
         if not refined:
             return found.distinct()
-        left = chunks(left.where(F.col("hot") & ~short).select("key", "word", "rest"))
-        right = grams(right.where("hot").select("key", "word", "rest"))
+        left = chunks(_rests(left.where(F.col("hot") & (left_over > 1))))
+        right = grams(_rests(right.where("hot")))
 
 
 def roots(forms):

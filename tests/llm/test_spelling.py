@@ -58,8 +58,8 @@ def test_hot_chunks_are_refined(spark):
 
 
 def test_a_word_contributes_two_disjoint_chunks(spark):
-    frame = spark.createDataFrame([(0, "abcdefg", "abcdefg")], "key long, word string, rest string")
-    assert sorted(r.rest for r in chunks(frame).collect()) == ["abcg", "defg"]
+    frame = spark.createDataFrame([(0, "abcdefg", "abcdefg", None)], "key long, word string, rest string, only int")
+    assert sorted((r.rest, r.start, r.length) for r in chunks(frame).collect()) == [("abcdefg", 0, 3), ("abcdefg", 3, 3)]
 
 
 def by_hand(docs):
