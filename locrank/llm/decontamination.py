@@ -6,15 +6,21 @@ table says how far it may move without skipping an occurrence; only where the sh
 bucket, chosen by the block at the end and the block at the start, name patterns to compare.
 """
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from locrank.llm.words import alphanumeric_words, column_bytes
+from locrank import storage
+from locrank.llm.words import alphanumeric_words, column_bytes, keep, utf8, whole_rows
 
-#: Words of benchmark text whose patterns are searched in one pass and sent to the executors at
-#: once, about 100 MB of tables. Larger benchmarks take several passes over the documents.
+#: Words of benchmark text whose patterns are searched in one pass and sent to the executors, about
+#: 100 MB of tables. Larger benchmarks take several passes over the documents, one after the other;
+#: the tables of a pass are released before the next.
 BLOCK_WORDS = 500_000
 
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
 SCANNED = "doc_id {id}, text_key long, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
 
 
@@ -95,15 +101,38 @@ def _scan(tables, schema):
     return scan
 
 
-def _blocks(benchmark, block_words):
-    block, size = [], 0
+def _pieces(item, text, window, block_words):
+    """An item, or for one longer than a block overlapping pieces of it that have the same windows."""
+    starts = [m.start() for m in _WORD.finditer(text)] if len(text) // 5 >= block_words else []
+    if len(starts) <= max(block_words, window):
+        yield item, text
+        return
+    for at in range(0, len(starts) - window + 1, block_words):
+        end = at + block_words + window - 1
+        yield item, text[starts[at] : starts[end] if end < len(starts) else None]
+
+
+def _blocks(benchmark, window, block_words):
+    block, size, some = [], 0, False
     for row in benchmark.select("item_id", "text").where("text is not null").toLocalIterator():
-        block.append((row.item_id, row.text))
-        size += len(row.text) // 5 + 1
-        if size >= block_words:
-            yield block
-            block, size = [], 0
-    yield block
+        for piece in _pieces(row.item_id, row.text, window, block_words):
+            block.append(piece)
+            size += len(piece[1]) // 5 + 1
+            if size >= block_words:
+                yield block
+                block, size, some = [], 0, True
+    if block or not some:
+        yield block
+
+
+def _passes(spark, benchmark, window, block_words):
+    """The tables of each block as a broadcast, and whether it is the last."""
+    blocks = _blocks(benchmark, window, block_words)
+    block = next(blocks)
+    while block is not None:
+        following = next(blocks, None)
+        yield spark.sparkContext.broadcast(shift_tables(block, window)), following is None
+        block = following
 
 
 def benchmark_hits(docs, benchmark, window=10, block_words=BLOCK_WORDS):
@@ -117,7 +146,8 @@ def benchmark_hits(docs, benchmark, window=10, block_words=BLOCK_WORDS):
     * Repeated rows of docs give as many rows, also where doc_id is null; items of one id count as one.
 
     The benchmark is read in blocks of a bounded number of words, and each block is searched in all
-    documents without a shuffle. Only the results of several blocks are brought together, by
+    documents without a shuffle; with several blocks each pass writes what it finds and releases its
+    tables. Only the results of several blocks are brought together, by
     document; a document's row holds at most its own words.
     """
     spark = docs.sparkSession
@@ -126,9 +156,11 @@ def benchmark_hits(docs, benchmark, window=10, block_words=BLOCK_WORDS):
     layout = SCANNED.format(id=kind)
     schema = _arrow_schema(spark, layout)
     found, passes = None, 0
-    for block in _blocks(benchmark, block_words):
-        tables = spark.sparkContext.broadcast(shift_tables(block, window))
+    for tables, last in _passes(spark, benchmark, window, block_words):
         hits = base.mapInArrow(_scan(tables, schema), layout)
+        if not (last and passes == 0):
+            hits = keep(hits, "benchmark-hits")
+            tables.destroy()
         found, passes = hits if found is None else found.unionAll(hits), passes + 1
     return found if passes == 1 else _together(found, passes)
 
@@ -181,12 +213,34 @@ def with_hit_counts(hits):
     )
 
 
-def without_contaminated(docs, benchmark, window=10):
-    """The rows of docs without any window of the benchmark, in all their columns."""
-    hits = with_hit_counts(benchmark_hits(docs, benchmark, window)).where("contaminated")
-    bad = hits.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_key"))
-    return docs.join(bad, same, "left_anti")
+def _clean(tables):
+    def scan(batches):
+        found = tables.value
+        for batch in batches:
+            words = map(alphanumeric_words, utf8(batch.column("row").field("text")))
+            clean = [not any(next(occurrences(table, w), None) for table in found) for w in words]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return scan
+
+
+def without_contaminated(docs, benchmark, window=10, block_words=BLOCK_WORDS):
+    """The rows of docs without any window of the benchmark, in all their columns.
+
+    The scan that finds a window does not return the row, so nothing is shuffled. With several
+    blocks each pass but the last writes what it leaves, and what the pass before wrote is removed.
+    """
+    spark, rows, at = docs.sparkSession, whole_rows(docs), None
+    for tables, last in _passes(spark, benchmark, window, block_words):
+        rows = rows.mapInArrow(_clean(tables), rows.schema)
+        if not last:
+            done = storage.scratch_dir(spark, "clean")
+            rows = storage.keep(rows, "clean", done)
+            tables.destroy()
+            if at:
+                storage.delete(spark, at)
+            at = done
+    return rows.select("row.*")
 
 
 def op1_decontamination(spark, sf_dir):

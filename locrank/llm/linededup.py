@@ -11,7 +11,7 @@ import string
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from locrank.llm.words import keep
+from locrank.llm.words import keep, whole_rows
 
 #: Shorter keys are never dropped.
 MIN_KEY_CHARS = 10
@@ -75,57 +75,47 @@ def dropped_lines(docs):
     return streamed.where("repeats").select(*place).unionAll(late.select(*place)).distinct()
 
 
-def dropped_runs(docs):
-    """doc_id, text_key, n_dropped, runs(start, length) of documents that lose lines."""
+def bitmaps(docs):
+    """doc_id, text_key, n_dropped, changes of documents that lose lines.
+
+    changes is the run-length coded bitmap of the lines that stay: the positions where it changes.
+    Lines before the first one stay, those from there to the second go, and so on.
+    """
     document = ["doc_id", "text_key"]
     order = Window.partitionBy(*document).orderBy("pos")
     islands = dropped_lines(docs).withColumn("island", F.col("pos") - F.row_number().over(order))
     runs = islands.groupBy(*document, "island").agg(F.min("pos").alias("start"), F.count("*").cast("int").alias("length"))
-    run = F.struct("start", "length")
-    return runs.groupBy(*document).agg(F.sum("length").alias("n_dropped"), F.array_sort(F.collect_list(run)).alias("runs"))
+    ends = F.array("start", F.col("start") + F.col("length"))
+    changes = F.flatten(F.array_sort(F.collect_list(ends))).alias("changes")
+    return runs.groupBy(*document).agg(F.sum("length").alias("n_dropped"), changes)
 
 
-def _with_runs(docs):
-    """docs with _runs and _n_dropped, null where nothing is dropped."""
-    runs = dropped_runs(docs).select(
-        F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"), "n_dropped", "runs"
-    )
-    runs = runs.withColumnsRenamed({"n_dropped": "_n_dropped", "runs": "_runs"})
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_key"))
-    return docs.join(runs, same, "left")
+def _with_bitmap(docs):
+    """row, a struct of all columns of docs, n_dropped and changes, null where nothing is dropped."""
+    rows = whole_rows(docs).withColumn("key", F.xxhash64("row.text"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))
+    return rows.join(bitmaps(docs), same, "left").select("row", "key", "n_dropped", "changes")
 
 
-def _bitmap():
-    """Run lengths of the keep bitmap: kept, dropped, kept, ..., beginning and ending with kept lines."""
+def _stretches(lines, take):
+    """take(first, number) for each stretch of lines that stays, the first and the last maybe empty."""
 
-    def pair(run, i):
-        before = F.col("_runs")[i - 1]
-        kept = run["start"] - F.when(i == 0, 0).otherwise(before["start"] + before["length"])
-        return F.array(kept, run["length"])
+    def stretch(i):
+        first = F.coalesce(F.get("changes", 2 * i - 1), F.lit(0))
+        return take(first, F.coalesce(F.get("changes", 2 * i), F.size(lines)) - first)
 
-    last = F.element_at("_runs", -1)
-    whole = F.array(F.size(_lines(F.col("text"))))
-    rest = F.array(F.size(_lines(F.col("text"))) - last["start"] - last["length"])
-    return F.when(F.col("_runs").isNull(), whole).otherwise(F.concat(F.flatten(F.transform("_runs", pair)), rest))
+    return F.transform(F.sequence(F.lit(0), F.coalesce(F.shiftright(F.size("changes"), 1), F.lit(0))), stretch)
 
 
 def _kept_text():
-    """The lines that stay, joined by line feeds: those between the runs, each taken as one slice."""
+    """The lines whose bits are set, joined by line feeds."""
 
     def stay(lines):
-        def before(run, i):
-            previous = F.col("_runs")[i - 1]
-            start = F.when(i == 0, 0).otherwise(previous["start"] + previous["length"])
-            return F.slice(lines, start + 1, run["start"] - start)
-
-        last = F.element_at("_runs", -1)
-        end = last["start"] + last["length"]
-        rest = F.slice(lines, end + 1, F.size(lines) - end)
-        return F.array_join(F.concat(F.flatten(F.transform("_runs", before)), rest), "\n")
+        return F.array_join(F.flatten(_stretches(lines, lambda first, n: F.slice(lines, first + 1, n))), "\n")
 
-    whole = F.coalesce("text", F.lit(""))
-    split_once = F.transform(F.array(_lines(F.col("text"))), stay)
-    return F.when(F.col("_runs").isNull(), whole).otherwise(F.element_at(split_once, 1))
+    text = F.col("row.text")
+    split_once = F.transform(F.array(_lines(text)), stay)
+    return F.when(F.col("changes").isNull(), F.coalesce(text, F.lit(""))).otherwise(F.element_at(split_once, 1))
 
 
 def keep_bitmaps(docs):
@@ -141,34 +131,38 @@ def keep_bitmaps(docs):
       text_key, a hash of the text, tells their lines apart.
     * Empty docs give no row; other columns are ignored.
     """
-    rows = _with_runs(docs.select("doc_id", "text"))
+    rows = _with_bitmap(docs.select("doc_id", "text"))
+    n_lines = F.size(_lines(F.col("row.text")))
+    ends = F.concat(F.coalesce("changes", F.array().cast("array<int>")), F.array(n_lines))
+    runs = F.transform(ends, lambda end, i: end - F.coalesce(F.get(ends, i - 1), F.lit(0)))
     return rows.select(
-        "doc_id",
-        F.xxhash64("text").alias("text_key"),
-        F.size(_lines(F.col("text"))).cast("long").alias("n_lines"),
-        F.coalesce("_n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
-        _bitmap().alias("keep_runs"),
+        "row.doc_id",
+        F.col("key").alias("text_key"),
+        n_lines.cast("long").alias("n_lines"),
+        F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
+        runs.alias("keep_runs"),
     )
 
 
 def without_repeated_lines(docs):
     """docs with the text of the lines that stay; n_chars, where there is one, follows. A text that
     loses no line stays as it is, null included."""
-    rows = _with_runs(docs)
-    rows = rows.withColumn("text", F.when(F.col("_runs").isNull(), F.col("text")).otherwise(_kept_text()))
+    whole = F.col("changes").isNull()
+    rows = _with_bitmap(docs).withColumn("text", F.when(whole, F.col("row.text")).otherwise(_kept_text()))
+    columns = {name: F.col("row").getField(name) for name in docs.columns} | {"text": F.col("text")}
     if "n_chars" in docs.columns:
         changed = F.char_length("text").cast(dict(docs.dtypes)["n_chars"])
-        rows = rows.withColumn("n_chars", F.when(F.col("_runs").isNull(), F.col("n_chars")).otherwise(changed))
-    return rows.select(*docs.columns)
+        columns["n_chars"] = F.when(whole, columns["n_chars"]).otherwise(changed)
+    return rows.select(*(column.alias(name) for name, column in columns.items()))
 
 
 def op10_line_dedup(spark, sf_dir):
     """Lines of each document, those dropped, and a digest of the rest."""
-    rows = _with_runs(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    rows = _with_bitmap(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return rows.select(
-        "doc_id",
-        F.size(_lines(F.col("text"))).cast("long").alias("n_lines"),
-        F.coalesce("_n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
+        "row.doc_id",
+        F.size(_lines(F.col("row.text"))).cast("long").alias("n_lines"),
+        F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
         F.sha2(_kept_text().cast("binary"), 256).alias("kept_sha256"),
     )
 

@@ -12,9 +12,10 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from locrank.llm.words import column_bytes, keep, spaced_words
+from locrank.llm.words import keep, spaced_words, utf8, whole_rows
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -86,21 +87,28 @@ def repeated_words(words):
     return int((covered.cumsum() > 0).sum())
 
 
-def statistics(docs):
-    """doc_id, text_key, lang, source, the six counts and base_failed, for every row of docs."""
+def statistics(docs, names):
+    """row, a struct of the columns names, the six counts and base_failed, for every row of docs.
+
+    The counts go with the row they were computed from, so nothing is joined to find it again.
+    """
 
     def scan(batches):
         for batch in batches:
-            rows = [counts_of(text) for text in column_bytes(batch, "text")]
-            columns = [batch.column(name) for name in keys]
-            columns += [pa.array([row[k] for row in rows], pa.int64()) for k in range(len(_COUNTS))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keys, *_COUNTS])
-
-    keys = ["doc_id", "text_key", "lang", "source"]
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "lang", "source", "text")
-    kinds = [*(f"{k} {t}" for k, t in rows.dtypes if k != "text"), *(f"{k} long" for k in _COUNTS)]
+            row = batch.column("row")
+            counts = [counts_of(text) for text in utf8(row.field("text"))]
+            columns = [row if whole else pa.StructArray.from_arrays([row.field(name) for name in names], names)]
+            columns += [pa.array([count[k] for count in counts], pa.int64()) for k in range(len(_COUNTS))]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", *_COUNTS])
+
+    whole = list(names) == docs.columns
+    rows = whole_rows(docs if whole else docs.select(*names, "text"))
+    fields = rows.schema["row"].dataType.fields
+    layout = T.StructType([T.StructField("row", T.StructType([f for f in fields if f.name in names]))])
+    for name in _COUNTS:
+        layout = layout.add(name, T.LongType())
     failed = f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"
-    return rows.mapInArrow(scan, ", ".join(kinds)).withColumn("base_failed", F.expr(failed))
+    return rows.mapInArrow(scan, layout).withColumn("base_failed", F.expr(failed))
 
 
 def _estimates(rows, sums, consistency=CONSISTENCY, widening=STEP_WIDENING):
@@ -198,46 +206,53 @@ def _group(*names):
     return F.to_json(F.struct(F.lit(len(names)).alias("level"), *names))
 
 
-def judged(docs):
-    """statistics(docs) plus distance and kept, for every row of docs(doc_id, lang, source, text).
-
-    kept is false where base_failed, else whether the squared distance from the estimate of the
-    document's language and source is at most CUTOFF. Languages and sources with fewer than
-    MIN_DOCUMENTS documents take the estimate of the language, then that of all documents; with
-    fewer documents altogether there is no estimate, distance is null and kept is true.
-
-    * A null or empty text has no words, so it fails the base rules.
-    * Null languages and sources are groups of their own; null doc_ids and repeated rows are
-      judged like any other, each row giving a row.
-    * Empty docs give no row; other columns are ignored.
-    """
-    spark = docs.sparkSession
-    stats = keep(statistics(docs), "quality-statistics")
-    features = stats.withColumns({name: F.expr(term) for name, (term, _) in FEATURES.items()})
+def _judged(docs, names):
+    """statistics(docs, names) plus distance and kept; names hold lang and source."""
+    stats = keep(statistics(docs, names), "quality-statistics")
+    group = [F.col("row.lang").alias("lang"), F.col("row.source").alias("source")]
+    features = stats.select(*group, "base_failed", *(F.expr(term).alias(name) for name, (term, _) in FEATURES.items()))
     levels = F.array(_group("lang", "source"), _group("lang"), _group())
     vectors = features.where("not base_failed").select(F.explode(levels).alias("g"), *FEATURES)
     best, groups = minimum_covariance(vectors)
     best = keep(best, "quality-best")
     pairs = features.select("lang", "source").distinct()
-    levels = F.array(_group("lang", "source"), _group("lang"), _group())
     pairs = pairs.select(_group("lang", "source").alias("g2"), F.posexplode(levels).alias("level", "g"))
     finest = F.min_by(F.struct("mu", "precision"), "level").alias("e")
     chosen = pairs.join(_bounded(best, groups), "g").groupBy("g2").agg(finest)
     chosen = pairs.select("g2").distinct().join(chosen, "g2", "left")
     chosen = keep(chosen.select("g2", "e.mu", "e.precision"), "quality-chosen")
-    joined = features.withColumn("g2", _group("lang", "source")).join(_bounded(chosen, chosen.count()), "g2")
+    placed = stats.withColumns({name: F.expr(term) for name, (term, _) in FEATURES.items()})
+    own = F.to_json(F.struct(F.lit(2).alias("level"), F.col("row.lang").alias("lang"), F.col("row.source").alias("source")))
+    joined = placed.withColumn("g2", own).join(_bounded(chosen, chosen.count()), "g2")
     joined = joined.withColumn("distance", _distance())
     inside = F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))
     return joined.withColumn("kept", ~F.col("base_failed") & inside).select(*stats.columns, "distance", "kept")
 
 
+def judged(docs):
+    """doc_id, lang, source, the six counts, base_failed, distance and kept for every row of docs(doc_id, lang, source, text).
+
+    kept is false where base_failed, else whether the squared distance from the estimate of the
+    document's language and source is at most CUTOFF. Languages and sources with fewer than
+    MIN_DOCUMENTS documents take the estimate of the language, then that of all documents; with
+    fewer documents altogether there is no estimate, distance is null and kept is true.
+
+    * A null or empty text has no words, so it fails the base rules.
+    * Null languages and sources are groups of their own; null doc_ids and repeated rows are
+      judged like any other, each row giving a row.
+    * Empty docs give no row; other columns are ignored.
+    """
+    found = _judged(docs, ["doc_id", "lang", "source"])
+    return found.select("row.*", *(name for name in found.columns if name != "row"))
+
+
 def without_rejected(docs):
-    """The rows of docs that the rules keep, in all their columns."""
-    kept = judged(docs).where("kept").select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"), "lang", "source")
-    kept = kept.distinct().withColumnsRenamed({"lang": "_lang", "source": "_source"})
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_key"))
-    same &= F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
-    return docs.join(kept, same, "left_semi")
+    """The rows of docs that the rules keep, in all their columns.
+
+    The rows are written once with their counts; only estimates are joined to them, by language and
+    source, so that no text is shuffled.
+    """
+    return _judged(docs, docs.columns).where("kept").select("row.*")
 
 
 def op5_quality(spark, sf_dir):

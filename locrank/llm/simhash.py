@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from locrank.llm.components import components
-from locrank.llm.words import column_bytes, keep, spaced_words
+from locrank.llm.words import column_bytes, keep, spaced_words, whole_rows
 
 #: Fingerprints per side of one comparison task in a bucket that needs pairs compared.
 BLOCK = 4096
@@ -95,7 +95,7 @@ def _spanning(prints, far, near, radius):
 def _compare(radius):
     """Rows sorted by (bucket, q, b): links between the far rows of block q and all rows of block b."""
 
-    def links(keys, fp, is_far, is_query):
+    def links(fp, is_far, is_query):
         prints, at = np.unique(fp, return_inverse=True)
         queries = np.unique(at[is_query])
         near = np.unique(at[~is_far])
@@ -112,11 +112,11 @@ def _compare(radius):
             bounds = [0, *cuts.tolist()]
             out = []
             for start, end in zip(bounds, bounds[1:]):
-                out += links(None, *(column[start:end] for column in columns[3:]))
+                out += links(*(column[start:end] for column in columns[3:]))
             held = [column[bounds[-1] :] for column in columns]
             yield _links_batch(out)
         if held is not None:
-            yield _links_batch(links(None, *held[3:]))
+            yield _links_batch(links(*held[3:]))
 
     return scan
 
@@ -152,14 +152,17 @@ def links(weights, radius=4, block=BLOCK):
     rows = members.join(keep(open_buckets, "simhash-open"), "bucket")
     blocks = F.ceil(F.col("size") / block).cast("int")
     rows = rows.select("bucket", "fp", "is_far", blocks.alias("blocks"), F.pmod(F.xxhash64("fp"), blocks).alias("own"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    tested = rows.select("bucket", F.col("own").alias("b"), "fp", "is_far", F.lit(False).alias("is_query"), other.alias("q"))
-    asking = rows.where("is_far").select(
-        "bucket", F.col("own").alias("q"), "fp", "is_far", F.lit(True).alias("is_query"), other.alias("b")
+    # Far rows ask all blocks; the others are sent only to the blocks that have far rows.
+    rows = keep(rows, "simhash-rows")
+    asked = rows.where("is_far").select("bucket", F.col("own").cast("long").alias("q")).distinct()
+    tested = rows.join(asked, "bucket").select(
+        "bucket", "q", F.col("own").cast("long").alias("b"), "fp", "is_far", F.lit(False).alias("is_query")
     )
-    both = tested.select("bucket", F.col("q").cast("long"), F.col("b").cast("long"), "fp", "is_far", "is_query").unionAll(
-        asking.select("bucket", F.col("q").cast("long"), F.col("b").cast("long"), "fp", "is_far", "is_query")
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1))
+    asking = rows.where("is_far").select(
+        "bucket", F.col("own").cast("long").alias("q"), blocks.alias("b"), "fp", "is_far", F.lit(True).alias("is_query")
     )
+    both = tested.unionAll(asking.select(*tested.columns))
     dealt = both.repartition("bucket", "q", "b").sortWithinPartitions("bucket", "q", "b")
     return to_pivot.unionAll(dealt.mapInArrow(_compare(radius), "a long, b long")).distinct()
 
@@ -195,11 +198,11 @@ def one_of_each(docs, size=4, radius=4):
     chosen = classes.where("doc_id <=> component_id")
     chosen = keep(chosen.groupBy("doc_id", "text_key", "root").agg(F.count("*").alias("rows")), "simhash-chosen")
     repeated = not chosen.groupBy("doc_id", "root").agg(F.sum("rows").alias("rows")).where("rows > 1").isEmpty()
-    to = chosen.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"), F.col("root").alias("_root"))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_key"))
-    kept = docs.join(to, same)
-    kept = kept.dropDuplicates(["doc_id", "_root"]) if repeated else kept
-    return kept.select(*docs.columns)
+    rows = whole_rows(docs).withColumn("key", F.xxhash64("row.text"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))
+    kept = rows.join(chosen.select("doc_id", "text_key", "root"), same)
+    kept = kept.dropDuplicates(["doc_id", "root"]) if repeated else kept
+    return kept.select("row.*")
 
 
 def op2_simhash(spark, sf_dir):

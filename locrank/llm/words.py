@@ -1,8 +1,9 @@
 """Words, Arrow batches and tables kept between jobs, shared by the operators."""
 
-from locrank.storage import scratch_dir
-
 import pyarrow as pa
+from pyspark.sql import functions as F
+
+from locrank.storage import scratch_dir
 
 # A-Z to a-z, every other ASCII character but digits and a-z to a space.
 _ALPHANUMERIC = bytes(
@@ -21,9 +22,19 @@ def spaced_words(text):
     return text.split()
 
 
+def utf8(strings):
+    """An Arrow array of strings as UTF-8 bytes, null as empty."""
+    return [value or b"" for value in strings.cast(pa.large_binary()).to_pylist()]
+
+
 def column_bytes(batch, name):
     """A string column of an Arrow batch as UTF-8 bytes, null as empty."""
-    return [value or b"" for value in batch.column(name).cast(pa.large_binary()).to_pylist()]
+    return utf8(batch.column(name))
+
+
+def whole_rows(docs):
+    """docs as one column row, a struct of all its columns, beside which names are free."""
+    return docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
 
 
 def keep(frame, purpose):

@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import Row
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,20 +14,21 @@ def sf_dir():
     return SF
 
 
+#: Names that the operators give to columns of their own.
+OWN_NAMES = (
+    "row key text_key spans items part rows number unit changes n_dropped _doc_id _text_key _runs _n_dropped _root "
+    "_lang _source root fp n_words base_failed kept distance g2 x0 mu"
+).split()
+
+
 @pytest.fixture
 def frame(spark):
     """Rows of (doc_id, text) as documents, with columns whose names operators use themselves."""
 
     def build(pairs):
-        data = [
-            Row(doc_id=d, text=t, lang="en", source="s", n_chars=len(t or ""), text_key="x", spans="y", key="z", part=1, rows=2)
-            for d, t in pairs
-        ]
-        schema = (
-            "doc_id long, text string, lang string, source string, n_chars long, text_key string, spans string, "
-            "key string, part int, rows int"
-        )
-        return spark.createDataFrame(data, schema)
+        rows = [(d, t, "en", "s", len(t or ""), *(1 for _ in OWN_NAMES)) for d, t in pairs]
+        layout = ", ".join(f"`{name}` int" for name in OWN_NAMES)
+        return spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {layout}")
 
     return build
 

@@ -78,3 +78,14 @@ def test_contaminated_rows_go_and_clean_ones_stay_with_all_columns(spark, frame,
     kept = without_contaminated(docs, benchmark)
     assert kept.columns == docs.columns
     assert rows(kept) == rows(docs.where("doc_id is null or doc_id <> 4"))
+
+
+def test_an_item_longer_than_a_block(spark, frame):
+    """Its windows are searched in pieces; a document in the middle of two pieces is found as well."""
+    long = " ".join(f"w{n}" for n in range(100))
+    docs = [(n, " ".join(f"w{k}" for k in range(n, n + 10))) for n in range(0, 91, 7)] + [(200, "w5 w6 w7 w8 w9 w10 w11 w12 w13")]
+    items = [(1, long), (2, "other words")]
+    expected = by_hand(docs, items, 10)
+    assert found(spark, frame(docs), items, 10, 12) == expected == found(spark, frame(docs), items, 10, 10**6)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert rows(without_contaminated(frame(docs), benchmark, 10, 12), "doc_id") == [(200,)]
