@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from locrank import storage
-from locrank.llm.words import alphanumeric_words, column_bytes, keep, utf8, whole_rows
+from locrank.llm.words import alphanumeric_words, column_bytes, keep, utf8
 
 #: Words of benchmark text whose patterns are searched in one pass and sent to the executors, about
 #: 100 MB of tables. Larger benchmarks take several passes over the documents, one after the other;
@@ -213,34 +213,36 @@ def with_hit_counts(hits):
     )
 
 
-def _clean(tables):
-    def scan(batches):
+def _holds_window(tables):
+    """A function of a text: whether a pattern of the tables occurs in it. Only the text is sent to Python."""
+
+    @F.arrow_udf("boolean")
+    def holds(texts: pa.Array) -> pa.Array:
         found = tables.value
-        for batch in batches:
-            words = map(alphanumeric_words, utf8(batch.column("row").field("text")))
-            clean = [not any(next(occurrences(table, w), None) for table in found) for w in words]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+        parts = (texts.slice(at, 512) for at in range(0, len(texts), 512))
+        words = (alphanumeric_words(text) for part in parts for text in utf8(part))
+        return pa.array([any(next(occurrences(table, w), None) for table in found) for w in words], pa.bool_())
 
-    return scan
+    return holds
 
 
 def without_contaminated(docs, benchmark, window=10, block_words=BLOCK_WORDS):
     """The rows of docs without any window of the benchmark, in all their columns.
 
-    The scan that finds a window does not return the row, so nothing is shuffled. With several
-    blocks each pass but the last writes what it leaves, and what the pass before wrote is removed.
+    The scan that finds a window drops the row, so nothing is shuffled. With several blocks each
+    pass but the last writes what it leaves, and what the pass before wrote is removed.
     """
-    spark, rows, at = docs.sparkSession, whole_rows(docs), None
+    spark, at = docs.sparkSession, None
     for tables, last in _passes(spark, benchmark, window, block_words):
-        rows = rows.mapInArrow(_clean(tables), rows.schema)
+        docs = docs.where(~_holds_window(tables)("text"))
         if not last:
             done = storage.scratch_dir(spark, "clean")
-            rows = storage.keep(rows, "clean", done)
+            docs = storage.keep(docs, "clean", done)
             tables.destroy()
             if at:
                 storage.delete(spark, at)
             at = done
-    return rows.select("row.*")
+    return docs
 
 
 def op1_decontamination(spark, sf_dir):

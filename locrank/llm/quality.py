@@ -12,10 +12,9 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from locrank.llm.words import keep, spaced_words, utf8, whole_rows
+from locrank.llm.words import keep, spaced_words, utf8
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -90,25 +89,19 @@ def repeated_words(words):
 def statistics(docs, names):
     """row, a struct of the columns names, the six counts and base_failed, for every row of docs.
 
-    The counts go with the row they were computed from, so nothing is joined to find it again.
+    The counts go with the row they were computed from, so nothing is joined to find it again, and
+    only the text is sent to Python.
     """
 
-    def scan(batches):
-        for batch in batches:
-            row = batch.column("row")
-            counts = [counts_of(text) for text in utf8(row.field("text"))]
-            columns = [row if whole else pa.StructArray.from_arrays([row.field(name) for name in names], names)]
-            columns += [pa.array([count[k] for count in counts], pa.int64()) for k in range(len(_COUNTS))]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", *_COUNTS])
-
-    whole = list(names) == docs.columns
-    rows = whole_rows(docs if whole else docs.select(*names, "text"))
-    fields = rows.schema["row"].dataType.fields
-    layout = T.StructType([T.StructField("row", T.StructType([f for f in fields if f.name in names]))])
-    for name in _COUNTS:
-        layout = layout.add(name, T.LongType())
+    @F.arrow_udf(", ".join(f"{name} long" for name in _COUNTS))
+    def counted(texts: pa.Array) -> pa.Array:
+        rows = [counts_of(text) for at in range(0, len(texts), 512) for text in utf8(texts.slice(at, 512))]
+        return pa.StructArray.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(len(_COUNTS))], _COUNTS)
+
+    row = F.struct(*(F.col(f"`{name}`") for name in names)).alias("row")
     failed = f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"
-    return rows.mapInArrow(scan, layout).withColumn("base_failed", F.expr(failed))
+    rows = docs.select(row, counted("text").alias("counts")).select("row", "counts.*")
+    return rows.withColumn("base_failed", F.expr(failed))
 
 
 def _estimates(rows, sums, consistency=CONSISTENCY, widening=STEP_WIDENING):
