@@ -18,6 +18,8 @@ from locrank.operators.lineage import (
     outputs_of,
     producers_of,
 )
+from locrank.operators.members import cycle_members, cycle_tasks
+from locrank.operators.nearest import near_names, nearest_names
 from locrank.operators.topk import top_k
 
 __all__ = [
@@ -25,6 +27,8 @@ __all__ = [
     "check_output",
     "consumers_of",
     "contract_violations",
+    "cycle_members",
+    "cycle_tasks",
     "derive_edges",
     "fan_in",
     "hot_keys",
@@ -33,6 +37,8 @@ __all__ = [
     "join_on_key",
     "latest_per_key",
     "lost_keys",
+    "near_names",
+    "nearest_names",
     "one_row_per_key",
     "outputs_of",
     "producers_of",

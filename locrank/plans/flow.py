@@ -29,7 +29,7 @@ from locrank.schemas import (
     SNAPSHOT_KEY,
 )
 from locrank.sinks import load_table, publish
-from locrank.sources import Catalog, Dataset, read_published
+from locrank.sources import Catalog, Dataset, checked_csv, read_published
 
 SNAPSHOT_COLUMNS = [KEY, *SNAPSHOT_COUNTS, *RATES]
 
@@ -94,13 +94,20 @@ def flow_catalog(root, observations_path, snapshot_path):
     )
 
 
-def run_daily(spark, catalog, on_missing="create", scale=None, rules=None):
-    observations = catalog.scan(spark, "observations")
+def scan_checked(spark, catalog, name, bad_rows=None):
+    """The rows of a CSV dataset; with a BadRowsRule only the good ones, or MalformedRowsError."""
+    if bad_rows is None:
+        return catalog.scan(spark, name)
+    return checked_csv(spark, catalog[name].path, catalog[name].schema, bad_rows).good
+
+
+def run_daily(spark, catalog, on_missing="create", scale=None, rules=None, bad_rows=None):
+    observations = scan_checked(spark, catalog, "observations", bad_rows)
     return publish(daily(observations, scale), catalog["daily"], on_missing, rules)
 
 
-def run_joined(spark, catalog, on_missing="create", rules=None):
-    rated = unique_snapshot(snapshot_rates(catalog.scan(spark, "snapshot")))
+def run_joined(spark, catalog, on_missing="create", rules=None, bad_rows=None):
+    rated = unique_snapshot(snapshot_rates(scan_checked(spark, catalog, "snapshot", bad_rows)))
     rows = one_row_per_location(read_published(spark, catalog["daily"]), rated)
     return publish(rows, catalog["joined"], on_missing, rules)
 

@@ -142,6 +142,22 @@ def _check(relation, columns, keys, ranges):
 
 _ALL = ["location", "date", "total_cases", "new_cases", "total_deaths", "new_deaths"]
 
+_NET_TRADE = """sold AS (
+  SELECT s_nationkey AS src, c_nationkey AS dst, count(*) AS n
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+       JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
+  GROUP BY ALL), graph_edges AS (
+  SELECT a.src, a.dst FROM sold a LEFT JOIN sold b ON a.src = b.dst AND a.dst = b.src
+  WHERE a.n > coalesce(b.n, 0))"""
+
+# Of each pair of vertices that reach each other.
+_ON_CYCLES = """reach AS (
+  SELECT src, dst FROM graph_edges
+  UNION SELECT reach.src, e.dst FROM reach JOIN graph_edges e ON reach.dst = e.src), on_cycle AS (
+  SELECT a.src, a.dst FROM reach a JOIN reach b ON a.src = b.dst AND a.dst = b.src)"""
+
+_FAULTY = "location % 97 = 0 OR location % 89 = 1 OR location % 83 = 2"
+
 ORACLE = {
     "top_recovery_locations": f"WITH {_RANKING} SELECT * FROM ranking",
     "observations_clean": f"WITH {_CLEAN} SELECT * FROM clean",
@@ -208,13 +224,7 @@ ORDER BY recovery_rate DESC NULLS LAST, CAST(location AS VARCHAR) LIMIT 40""",
     ),
     "lineage_acyclic_net_trade": _acyclic(
         "net trade",
-        """sold AS (
-  SELECT s_nationkey AS src, c_nationkey AS dst, count(*) AS n
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-       JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
-  GROUP BY ALL), graph_edges AS (
-  SELECT a.src, a.dst FROM sold a LEFT JOIN sold b ON a.src = b.dst AND a.dst = b.src
-  WHERE a.n > coalesce(b.n, 0))""",
+        _NET_TRADE,
         "INTEGER",
     ),
     "lineage_output_contract": """WITH lines AS (
@@ -224,4 +234,35 @@ ORDER BY recovery_rate DESC NULLS LAST, CAST(location AS VARCHAR) LIMIT 40""",
 SELECT o_orderkey AS task, coalesce(n, 0) AS outputs, coalesce(bare, 0) AS without_path
 FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey
 WHERE coalesce(n, 0) <> 1 OR coalesce(bare, 0) > 0""",
+    "csv_checked_daily": f"""WITH {_DAILY}
+SELECT * REPLACE (CAST(location AS VARCHAR) AS location) FROM daily WHERE NOT ({_FAULTY})""",
+    "csv_malformed_rows": f"""WITH {_OBSERVATIONS}, faults AS (
+  SELECT location, location % 83 = 2 AS short, location % 89 = 1 AS dated, location % 97 = 0 AS worded,
+         strftime(date, '%d/%m/%Y') AS day
+  FROM observations WHERE {_FAULTY})
+SELECT location, CASE WHEN short THEN 'not 6 fields'
+  ELSE concat_ws('; ', CASE WHEN dated THEN 'date is not date: ' || day END,
+                 CASE WHEN worded THEN 'total_cases is not double: n/a' END) END AS reason
+FROM faults""",
+    "nearest_lost_names": """WITH named AS (
+  SELECT c_custkey, c_name, CASE WHEN c_custkey % 50 = 7 THEN reverse(c_name)
+    WHEN c_custkey % 15 = 0 THEN replace(c_name, 'Customer', 'Custommer')
+    WHEN c_custkey % 15 = 5 THEN replace(c_name, 'Customer', 'Custmer')
+    WHEN c_custkey % 15 = 10 THEN replace(c_name, 'Customer', 'Cuztomer') ELSE c_name END AS name
+  FROM customer), lost AS (
+  SELECT name, count(*) AS rows FROM named JOIN orders ON o_custkey = c_custkey
+  WHERE name NOT IN (SELECT c_name FROM customer) GROUP BY name), near AS (
+  SELECT name, c_name, levenshtein(name, c_name) AS d FROM lost, customer WHERE levenshtein(name, c_name) <= 1)
+SELECT lost.name AS location, rows, arg_min(c_name, (d, c_name)) AS nearest, min(d)::INTEGER AS distance
+FROM lost LEFT JOIN near USING (name) GROUP BY ALL""",
+    "lineage_cycle_net_trade": f"""WITH RECURSIVE {_NET_TRADE}, {_ON_CYCLES}
+SELECT src AS nation, min(dst) AS component, count(*) AS size FROM on_cycle GROUP BY src""",
+    "lineage_cycle_customers": f"""WITH RECURSIVE large AS (
+  SELECT DISTINCT o_custkey AS task, l_partkey AS d, l_linestatus AS status
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity >= 48), supplied AS (
+  SELECT task, d FROM large WHERE status = 'F'), taken AS (
+  SELECT task, d FROM large WHERE status = 'O'), graph_edges AS (
+  SELECT DISTINCT supplied.task AS src, taken.task AS dst FROM supplied JOIN taken USING (d)
+  WHERE supplied.task IN (SELECT task FROM taken) AND taken.task IN (SELECT task FROM supplied)), {_ON_CYCLES}
+SELECT src::VARCHAR AS task, min(dst::VARCHAR) AS component, count(*) AS size FROM on_cycle GROUP BY src""",
 }

@@ -7,12 +7,15 @@ from locrank.operators import (
     any_row_per_key,
     check_output,
     contract_violations,
+    cycle_members,
+    cycle_tasks,
     derive_edges,
     fan_in,
     hot_keys,
     is_acyclic,
     is_acyclic_lineage,
     lost_keys,
+    nearest_names,
     one_row_per_key,
     producers_of,
     rows_per_key,
@@ -23,7 +26,7 @@ from locrank.plans import flow, star
 from locrank.plans.dependencies import dependency_lines
 from locrank.schemas import KEY, OBSERVATIONS, SNAPSHOT
 from locrank.sinks import OutputRules, publish, replace_csv, replace_parquet, rows_to_load, scratch_dir
-from locrank.sources import Dataset, read_csv, read_parquet, read_published, read_task_specs
+from locrank.sources import BadRowsRule, Dataset, checked_csv, read_csv, read_parquet, read_published, read_task_specs
 
 
 def observations_clean(spark, sf_dir):
@@ -56,6 +59,15 @@ def lost_locations(spark, sf_dir):
     return lost_keys(observations_daily(spark, sf_dir), snapshot_rates(spark, sf_dir), KEY)
 
 
+def nearest_lost_names(spark, sf_dir):
+    """The names that a join loses, with their rows and the nearest name one edit away."""
+    known = star.customer_names(spark, sf_dir)
+    lost = lost_keys(star.misspelt_customers(spark, sf_dir), known, KEY)
+    names = nearest_names(lost.select(F.col(KEY).alias("name")), known.select(F.col(KEY).alias("name")))
+    names = names.withColumnsRenamed({"name": KEY, "near": "nearest"})
+    return lost.join(names, KEY).select(KEY, "rows", "nearest", "distance")
+
+
 def one_row_per_location(spark, sf_dir):
     return flow.one_row_per_location(
         observations_daily(spark, sf_dir), snapshot_rates(spark, sf_dir)
@@ -103,6 +115,23 @@ def csv_scan_by_name(spark, sf_dir):
     return flow.daily(read_csv(spark, path, OBSERVATIONS), star.SCALE)
 
 
+def _checked_observations(spark, sf_dir):
+    path = scratch_dir(spark, "faulty")
+    star.write_faulty_observations(spark, sf_dir, path)
+    return checked_csv(spark, path, OBSERVATIONS, BadRowsRule(most_share=0.5))
+
+
+def csv_checked_daily(spark, sf_dir):
+    """Sums of the good rows of a file with malformed ones."""
+    return flow.daily(_checked_observations(spark, sf_dir).good, star.SCALE)
+
+
+def csv_malformed_rows(spark, sf_dir):
+    """The malformed rows of the file, by the location they begin with, and what is wrong with them."""
+    bad = _checked_observations(spark, sf_dir).bad
+    return bad.select(F.split("text", ",")[0].cast("long").alias(KEY), "reason")
+
+
 def csv_snapshot_scan(spark, sf_dir):
     """Write a snapshot file with CRLF line ends, `inf` texts and an empty column; scan it by schema.
 
@@ -232,6 +261,16 @@ def lineage_acyclic_net_trade(spark, sf_dir):
     return _answer(spark, "net trade", is_acyclic(star.net_trade(spark, sf_dir)))
 
 
+def lineage_cycle_net_trade(spark, sf_dir):
+    """The nations on a cycle of net trade, by component."""
+    return cycle_members(star.net_trade(spark, sf_dir)).withColumnRenamed("vertex", "nation")
+
+
+def lineage_cycle_customers(spark, sf_dir):
+    """The customers whose large orders depend on each other's parts, by component."""
+    return cycle_tasks(star.part_lineage(spark, sf_dir, "F"), star.part_lineage(spark, sf_dir, "O"))
+
+
 def lineage_dependency_lines(spark, sf_dir):
     """Contract, cycle check and fan-in of task specifications that were written as JSON."""
     path = scratch_dir(spark, "tasks")
@@ -256,12 +295,15 @@ QUERIES = {
         observations_with_rates,
         observations_with_rates_salted,
         lost_locations,
+        nearest_lost_names,
         one_row_per_location,
         largest_order_per_location,
         any_row_per_location,
         top_recovery_semi,
         csv_scan_roundtrip,
         csv_scan_by_name,
+        csv_checked_daily,
+        csv_malformed_rows,
         csv_snapshot_scan,
         parquet_publish_twice,
         parquet_replace_twice,
@@ -279,6 +321,8 @@ QUERIES = {
         lineage_acyclic_orders,
         lineage_acyclic_trade,
         lineage_acyclic_net_trade,
+        lineage_cycle_net_trade,
+        lineage_cycle_customers,
         lineage_output_contract,
         lineage_dependency_lines,
     )

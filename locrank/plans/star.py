@@ -50,6 +50,43 @@ def observations(spark, sf_dir):
     )
 
 
+def write_faulty_observations(spark, sf_dir, path):
+    """The observations as CSV, with words for numbers, dates in another form and lines cut short at some locations."""
+    rows = observations(spark, sf_dir)
+    other = F.date_format("date", "dd/MM/yyyy")
+    short = F.col(KEY) % 83 == 2
+    texts = rows.select(
+        F.col(KEY).cast("string").alias(KEY),
+        F.when(F.col(KEY) % 89 == 1, other).otherwise(F.col("date").cast("string")).alias("date"),
+        F.when(F.col(KEY) % 97 == 0, "n/a").otherwise(F.col(MEASURES[0]).cast("string")).alias(MEASURES[0]),
+        *(F.col(name).cast("string").alias(name) for name in MEASURES[1:]),
+        short.alias("short"),
+    )
+    texts.where("not short").drop("short").write.option("header", True).csv(path)
+    lines = texts.where("short").select(F.concat_ws(",", KEY, "date").alias("value"))
+    header = spark.createDataFrame([(",".join(rows.columns),)], "value string").coalesce(1)
+    # One file, which begins with the header.
+    header.unionAll(lines).coalesce(1).write.mode("append").text(path)
+
+
+def misspelt_customers(spark, sf_dir):
+    """location, one row per order: the name of its customer, for some customers with an edit, for others turned round."""
+    customers = table(spark, sf_dir, "customer", "c_custkey long, c_name string")
+    key, name = F.col("c_custkey"), F.col("c_name")
+
+    def written(text):
+        return F.replace(name, F.lit("Customer"), F.lit(text))
+
+    seen = F.when(key % 50 == 7, F.reverse(name)).when(key % 15 == 0, written("Custommer"))
+    seen = seen.when(key % 15 == 5, written("Custmer")).when(key % 15 == 10, written("Cuztomer")).otherwise(name)
+    orders = table(spark, sf_dir, "orders", ORDER_COLUMNS).select(F.col("o_custkey").alias("c_custkey"))
+    return orders.join(customers, "c_custkey").select(seen.alias(KEY))
+
+
+def customer_names(spark, sf_dir):
+    return table(spark, sf_dir, "customer", "c_name string").select(F.col("c_name").alias(KEY))
+
+
 def snapshot(spark, sf_dir):
     """One row per user: all events, errors and purchases.
 
@@ -260,6 +297,14 @@ def stock_lineage(spark, sf_dir, status):
     )
 
 
+def part_lineage(spark, sf_dir, status):
+    """(task, dataset): customers and the parts of their large lines of that status."""
+    lines = table(spark, sf_dir, "lineitem", LINE_COLUMNS + ", l_quantity double")
+    large = lines.where((F.col("l_linestatus") == status) & (F.col("l_quantity") >= 48))
+    orders = table(spark, sf_dir, "orders", ORDER_COLUMNS).withColumnRenamed("o_orderkey", "l_orderkey")
+    return large.join(orders, "l_orderkey").select(F.col("o_custkey").alias("task"), F.col("l_partkey").alias("dataset"))
+
+
 def trade(spark, sf_dir):
     """Edges (src, dst) from the nation of an order's customer to that of a line's supplier.
 

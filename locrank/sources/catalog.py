@@ -26,10 +26,10 @@ def read_csv(spark, path, schema=None):
     if missing and header:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
     whole = T.StructType([T.StructField(name, declared.get(name, T.StringType())) for name in header or declared])
-    return reader.schema(whole).option("enforceSchema", False).csv(path).select(*map(_quoted, declared))
+    return reader.schema(whole).option("enforceSchema", False).csv(path).select(*map(quoted, declared))
 
 
-def _quoted(name):
+def quoted(name):
     return "`" + name.replace("`", "``") + "`"
 
 
