@@ -259,7 +259,7 @@ FROM lost LEFT JOIN near USING (name) GROUP BY ALL""",
 SELECT src AS nation, min(dst) AS component, count(*) AS size FROM on_cycle GROUP BY src""",
     "lineage_cycle_customers": f"""WITH RECURSIVE large AS (
   SELECT DISTINCT o_custkey AS task, l_partkey AS d, l_linestatus AS status
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity >= 48), supplied AS (
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity >= 45), supplied AS (
   SELECT task, d FROM large WHERE status = 'F'), taken AS (
   SELECT task, d FROM large WHERE status = 'O'), graph_edges AS (
   SELECT DISTINCT supplied.task AS src, taken.task AS dst FROM supplied JOIN taken USING (d)

@@ -300,7 +300,7 @@ def stock_lineage(spark, sf_dir, status):
 def part_lineage(spark, sf_dir, status):
     """(task, dataset): customers and the parts of their large lines of that status."""
     lines = table(spark, sf_dir, "lineitem", LINE_COLUMNS + ", l_quantity double")
-    large = lines.where((F.col("l_linestatus") == status) & (F.col("l_quantity") >= 48))
+    large = lines.where((F.col("l_linestatus") == status) & (F.col("l_quantity") >= 45))
     orders = table(spark, sf_dir, "orders", ORDER_COLUMNS).withColumnRenamed("o_orderkey", "l_orderkey")
     return large.join(orders, "l_orderkey").select(F.col("o_custkey").alias("task"), F.col("l_partkey").alias("dataset"))
 
