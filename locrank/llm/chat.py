@@ -70,23 +70,32 @@ def render(messages, loss_role="assistant"):
     """conv_id, formatted, loss_spans(start, length) for every conversation of messages(conv_id, message, role, text).
 
     Turns come in the order of message, loss_spans are the code points of the texts of loss_role.
-    A null role or text is empty; messages of equal number come in the order of role and text. A
-    null conv_id is a conversation. No messages give no row; other columns are ignored.
+    A null role or text is empty; messages of equal number come in the order of role and a hash of the
+    text. A null conv_id is a conversation. No messages give no row; other columns are ignored.
 
-    Places are running sums along a conversation, so the work grows with its length, and a task
-    holds one formatted conversation, which is its result, at a time.
+    Places are running sums of lengths along a conversation, without its texts; the texts meet once,
+    in the one formatted row that is the result.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     head = F.concat(F.lit(OPEN), escaped(role), F.lit(SEPARATOR))
     turns = messages.select("conv_id", "message", role.alias("role"), head.alias("head"), escaped(text).alias("body"))
-    turns = turns.withColumn("turn", F.concat("head", "body", F.lit(CLOSE)))
-    order = Window.partitionBy("conv_id").orderBy("message", "role", "body")
-    before = F.sum(F.char_length("turn").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    turns = turns.withColumn("place", F.row_number().over(order)).withColumn("start", before - F.char_length("turn"))
-    span = F.struct((F.col("start") + F.char_length("head")).alias("start"), F.char_length("body").cast("long").alias("length"))
-    spans = F.collect_list(F.when(F.col("role") == loss_role, span))
-    parts = F.array_sort(F.collect_list(F.struct("place", "turn")))
-    done = turns.groupBy("conv_id").agg(parts.alias("parts"), F.array_sort(spans).alias("loss_spans"))
+    turns = turns.withColumns(
+        {
+            "key": F.xxhash64("body"),
+            "before": F.char_length("head").cast("long"),
+            "inside": F.char_length("body").cast("long"),
+        }
+    )
+    place = ["message", "role", "key", "inside"]
+    order = Window.partitionBy("conv_id").orderBy(*place).rowsBetween(Window.unboundedPreceding, 0)
+    whole = F.col("before") + F.col("inside") + len(CLOSE)
+    sized = turns.select("conv_id", *place, "before").withColumn("start", F.sum(whole).over(order) - whole + F.col("before"))
+    spans = F.collect_list(F.when(F.col("role") == loss_role, F.struct("start", F.col("inside").alias("length"))))
+    spans = sized.groupBy("conv_id").agg(F.array_sort(spans).alias("loss_spans"))
+    turn = F.concat("head", "body", F.lit(CLOSE)).alias("turn")
+    parts = F.array_sort(F.collect_list(F.struct(*place, turn)))
+    done = turns.groupBy(F.col("conv_id").alias("conversation")).agg(parts.alias("parts"))
+    done = done.join(spans, F.col("conversation").eqNullSafe(F.col("conv_id")))
     formatted = F.array_join(F.transform("parts", lambda part: part["turn"]), "")
     return done.select("conv_id", formatted.alias("formatted"), "loss_spans")
 
@@ -106,8 +115,58 @@ def read_back(formatted):
     return formatted.select("conv_id", turns.alias("turns"), loss.alias("loss"), "formatted")
 
 
+def numbered(turns):
+    """turns(conv_id, turn, role, text) with message: 0, 1, ... in each conversation, by turn, role and text.
+
+    Rows of one turn are messages of their own. The texts are only sorted within a turn; along a
+    conversation go the numbers of rows per turn.
+    """
+    counts = turns.groupBy("conv_id", "turn").agg(F.count("*").alias("rows"))
+    earlier = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(
+        F.col("conv_id").alias("conversation"), F.col("turn").alias("at"), F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("first")
+    )
+    place = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text")) - 1
+    same = F.col("conv_id").eqNullSafe(F.col("conversation")) & F.col("turn").eqNullSafe(F.col("at"))
+    placed = turns.withColumn("place", place).join(counts, same)
+    return placed.select("conv_id", (F.col("first") + F.col("place")).alias("message"), "role", "text")
+
+
+def logged(messages):
+    """An event log, in no order, whose fold is messages(conv_id, message, role, text) with twice their numbers.
+
+    Every text is streamed in three deltas. By a hash of conversation and number, a fifth of the
+    messages are edited: a draft comes first, and an edit begins the text. Of the others a sixth are
+    regenerated: a first version and an answer to it, the message of the odd number after, come
+    before, and both are discarded.
+    """
+    text = F.coalesce("text", F.lit(""))
+    third = F.ceil(F.char_length(text) / 3).cast("int")
+    pieces = [F.substring(text, third * k + 1, third if k < 2 else F.char_length(text)) for k in range(3)]
+    draw = F.pmod(F.xxhash64("conv_id", "message"), F.lit(30))
+    kind = F.when(draw < 6, "edit").when(draw < 10, "regenerate").otherwise("delta")
+    number = 2 * F.col("message")
+
+    def event(seq, kind, text, message=number, when=None):
+        entry = F.struct(
+            (8 * F.col("message") + seq).cast("long").alias("seq"), message.cast("long").alias("message"), kind.alias("kind"), "role", text.alias("text")
+        )
+        return entry if when is None else F.when(when, entry)
+
+    changed, again = F.col("begins") != "delta", F.col("begins") == "regenerate"
+    events = F.array(
+        event(6, F.lit("delta"), pieces[2]),
+        event(1, F.lit("delta"), F.lit("an answer to a first version"), number + 1, again),
+        event(4, F.col("begins"), pieces[0]),
+        event(0, F.lit("delta"), F.concat(F.lit("a draft of "), pieces[0]), when=changed),
+        event(5, F.lit("delta"), pieces[1]),
+    )
+    events = F.explode(F.filter(events, lambda e: e.isNotNull()))
+    return messages.withColumn("begins", kind).select("conv_id", events.alias("e")).select("conv_id", "e.*")
+
+
 def op4_chat(spark, sf_dir):
-    """Every conversation as an event log, folded, rendered and read back."""
+    """Every conversation as a log of deltas, edits and regenerations, folded, rendered and read back."""
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     kinds = dict(rows.dtypes)
     ok = F.lit("</s>[INST] ok [/INST]").alias("text")
@@ -117,11 +176,7 @@ def op4_chat(spark, sf_dir):
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         ok,
     )
-    # A row is a message streamed in one delta. Rows of one turn are messages of their own.
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    logs = rows.unionByName(extra).withColumn("message", F.row_number().over(order))
-    events = logs.withColumn("seq", F.col("message")).withColumn("kind", F.lit("delta"))
-    back = read_back(render(fold(events)))
+    back = read_back(render(fold(logged(numbered(rows.unionByName(extra))))))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join("loss", "")
     return back.select(

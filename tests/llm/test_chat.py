@@ -2,7 +2,7 @@ import random
 
 from conftest import rows
 
-from locrank.llm.chat import escaped, fold, op4_chat, read_back, render, unescaped
+from locrank.llm.chat import escaped, fold, logged, numbered, op4_chat, read_back, render, unescaped
 
 EVENTS = "conv_id long, seq long, message long, kind string, role string, text string"
 
@@ -77,6 +77,43 @@ def test_a_long_conversation(spark):
     assert len(back.turns) == 2000 and back.turns[1].text == "text 2 </s>text 3 </s>" and len(back.loss) == 1000
 
 
+def test_logs_fold_back_to_their_messages(spark):
+    """Every kind of event occurs, in an order that is not that of the log, and what was discarded is gone."""
+    draw = random.Random(9)
+    texts = [(c, t, draw.choice(["user", "assistant", None]), draw.choice(["", None, "abc", "ä" * 7, "a\nb"]) or None) for c in range(30) for t in range(8)]
+    texts += [(0, 3, "user", "again"), (0, 3, "user", "again"), (None, 1, "user", "x"), (5, None, "user", "y")]
+    turns = spark.createDataFrame(texts, "conv_id long, turn long, role string, text string")
+    messages = numbered(turns)
+    numbers = {}
+    for r in messages.collect():
+        numbers.setdefault(r.conv_id, []).append(r.message)
+    assert all(sorted(found) == list(range(len(found))) for found in numbers.values())
+    log = logged(messages)
+    events = log.collect()
+    assert {r.kind for r in events} == {"delta", "edit", "regenerate"} and any(r.message % 2 for r in events)
+    assert [r.seq for r in events if r.conv_id == 1] != sorted(r.seq for r in events if r.conv_id == 1)
+    expected = sorted(((r.conv_id, 2 * r.message, r.role, r.text or "") for r in messages.collect()), key=repr)
+    assert rows(fold(log)) == expected
+
+
+def test_a_conversation_of_a_third_of_all_rows(spark, settings):
+    """Its texts are dealt out by message; only the final row and numbers without texts meet by conversation."""
+    settings("spark.sql.shuffle.partitions", "16")
+    settings("spark.sql.adaptive.enabled", "false")
+    texts = [(-1 if n % 3 == 0 else n, n, "user" if n % 2 else "assistant", f"text {n}") for n in range(3000)]
+    turns = spark.createDataFrame(texts, "conv_id long, turn long, role string, text string")
+    folded = fold(logged(numbered(turns)))
+    sizes = folded.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert sum(sizes) == 3000 and max(sizes) < 400
+    back = {r.conv_id: r for r in read_back(render(folded)).collect()}
+    assert [t.text for t in back[-1].turns] == [f"text {n}" for n in range(0, 3000, 3)]
+
+
+def test_the_log_is_folded_by_resets_and_discards(spark, sf_dir):
+    plan = op4_chat(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "reset" in plan and "discard" in plan and "regenerate" in plan and "edit" in plan
+
+
 def test_only_dataframe_functions(spark, sf_dir):
     plan = op4_chat(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
