@@ -237,7 +237,7 @@ def _batches_of_text(batch, size):
         start = end
 
 
-def _pack(path, end_id, limits):
+def _pack(path, end_id, limits, prompt_part):
     def rows_to_batch(rows):
         key, start, ids, plain, total, sequence, offset = zip(*rows)
         lengths = [len(x) for x in ids]
@@ -281,7 +281,8 @@ def _pack(path, end_id, limits):
                 prompts, texts = (tokenizer.encode(part.column(name)) for name in ("prompt", "text"))
                 for key, prompt, text in zip(part.column("doc_id").to_pylist(), prompts, texts):
                     ids = np.frombuffer(prompt + text + tokenizer.end, "<u4")
-                    pool.put((key, 0, ids, len(prompt) // 4, len(ids)))
+                    own = len(text) // 4
+                    pool.put((key, 0, ids, len(prompt) // 4 + int(own * prompt_part), len(ids)))
                     if pool.tokens >= POOL_TOKENS:
                         yield from placed(pool.sequences(POOL_TOKENS // 2), number)
         yield from placed(pool.sequences(0), number)
@@ -289,10 +290,11 @@ def _pack(path, end_id, limits):
     return scan
 
 
-def pack(docs, tokenizer_path, end_id, limits=Limits()):
+def pack(docs, tokenizer_path, end_id, limits=Limits(), prompt_part=0.0):
     """Pieces of docs(doc_id, text[, prompt]): doc_id, start, length, ids, n_loss, doc_tokens, sequence_id, offset.
 
-    A document is its prompt, its text and end_id; the prompt's tokens bear no loss. ids holds a
+    A document is its prompt, its text and end_id; the prompt's tokens bear no loss, nor does the first
+    prompt_part, rounded down, of the text's tokens, for texts that begin with their prompt. ids holds a
     piece's ids as little-endian unsigned 32-bit numbers, offset its place in the sequence. Each
     id lies in one piece. Examples are cut where they are longer than what a sequence may hold, and
     where nothing whole fits into a gap of at least limits.min_cut tokens.
@@ -309,18 +311,23 @@ def pack(docs, tokenizer_path, end_id, limits=Limits()):
     prompt = F.col("prompt") if "prompt" in docs.columns else F.lit(None)
     rows = docs.select("doc_id", "text", prompt.cast("string").alias("prompt"))
     layout = f"doc_id {kind}, start long, length long, ids binary, n_loss long, doc_tokens long, sequence_id long, offset long"
-    return rows.mapInArrow(_pack(tokenizer_path, end_id, limits), layout)
+    return rows.mapInArrow(_pack(tokenizer_path, end_id, limits, prompt_part), layout)
+
+
+#: Of a document the first quarter of its tokens is its prompt; the limits of a sequence of 4096 tokens.
+PROMPT_PART = 0.25
+DOCUMENT_LIMITS = Limits(tokens=4096, segments=24, loss=3500)
 
 
 def packed_documents(docs):
-    """Whole documents in sequences of 4096 tokens of the word vocabulary; every token bears loss."""
+    """Whole documents in sequences of 4096 tokens of the word vocabulary, within DOCUMENT_LIMITS."""
     docs = docs.select("doc_id", "text")
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), 2, DOCUMENT_LIMITS, PROMPT_PART)
 
 
 def op3_packing(spark, sf_dir):
     """Where each piece of each document lies, with a checksum of its ids."""
     pieces = packed_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return pieces.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "n_loss"
     )

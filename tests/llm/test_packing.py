@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from locrank.llm.packing import Limits, WordTokenizer, op3_packing, pack
+from locrank.llm.packing import DOCUMENT_LIMITS, Limits, Pool, WordTokenizer, op3_packing, pack, packed_documents
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -106,3 +106,49 @@ def test_op3_on_the_tables(spark, sf_dir, tokenizer):
     for p in pieces:
         used[p.sequence_id] += p.length
     assert sum(4096 - n for n in used.values() if n & (n - 1)) < 0.01 * total
+
+
+def test_the_first_part_of_a_text_bears_no_loss(spark, tokenizer):
+    docs = spark.createDataFrame([(1, "one two three four five six seven eight nine"), (2, None), (3, "a")], "doc_id long, text string")
+    loss, tokens = defaultdict(int), {}
+    for r in pack(docs, PATH, 2, Limits(), 0.25).collect():
+        loss[r.doc_id] += r.n_loss
+        tokens[r.doc_id] = r.doc_tokens
+    assert tokens[1] > 9 and loss == {doc: n - (n - 1) // 4 for doc, n in tokens.items()}
+
+
+def test_every_limit_binds_on_the_tables(spark):
+    """Sequences that are full by tokens, by segments and by loss."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pieces = packed_documents(docs).collect()
+    padding, total = check(pieces, DOCUMENT_LIMITS)
+    assert padding < 0.01 * total
+    used = defaultdict(lambda: [0, 0, 0])
+    for p in pieces:
+        for k, n in enumerate((p.length, 1, p.n_loss)):
+            used[p.sequence_id][k] += n
+    for k, limit in enumerate(DOCUMENT_LIMITS[:3]):
+        assert any(u[k] == limit for u in used.values())
+
+
+def test_the_next_example_has_the_largest_dot_product():
+    draw = random.Random(5)
+    limits = Limits(100, 6, 70, 4)
+    for _ in range(200):
+        pool, waiting = Pool(limits), []
+        for key in range(draw.randint(1, 12)):
+            n = draw.randint(1, 60)
+            piece = (key, 0, np.zeros(n, "<u4"), draw.randint(0, n), n)
+            pool.put(piece)
+            waiting.append((key, n, n - piece[3]))
+        left = [limits.tokens, limits.segments, limits.loss]
+        for key, _, ids, plain, whole in pool.sequence(limits.tokens, limits.min_cut):
+            fits = [w for w in waiting if w[1] <= left[0] and w[2] <= left[2]]
+            if not fits:
+                assert len(ids) < whole or left[0] >= limits.min_cut
+                break
+            demand = {w[0]: (w[1], 1, w[2]) for w in fits}
+            gain = {k: sum(d * room / limit**2 for d, room, limit in zip(demand[k], left, limits)) for k in demand}
+            assert gain[key] >= max(gain.values()) - 1e-9
+            left = [room - d for room, d in zip(left, demand[key])]
+            waiting = [w for w in waiting if w[0] != key]
