@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from locrank import storage
-from locrank.llm.words import alphanumeric_words, column_bytes, keep, utf8
+from locrank.llm.words import alphanumeric_words, column_bytes, give_back, keep, utf8
 
 #: Words of benchmark text whose patterns are searched in one pass and sent to the executors, about
 #: 100 MB of tables. Larger benchmarks take several passes over the documents, one after the other;
@@ -97,6 +97,7 @@ def _scan(tables, schema):
             columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(counts, pa.int64())]
             columns += [pa.array(spans, schema.field("spans").type), pa.array(items, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        give_back()
 
     return scan
 
@@ -221,7 +222,9 @@ def _holds_window(tables):
         found = tables.value
         parts = (texts.slice(at, 512) for at in range(0, len(texts), 512))
         words = (alphanumeric_words(text) for part in parts for text in utf8(part))
-        return pa.array([any(next(occurrences(table, w), None) for table in found) for w in words], pa.bool_())
+        held = pa.array([any(next(occurrences(table, w), None) for table in found) for w in words], pa.bool_())
+        give_back()
+        return held
 
     return holds
 

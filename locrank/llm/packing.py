@@ -19,12 +19,14 @@ import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
+from locrank.llm.words import give_back
+
 #: Tokens a task holds while it packs; about 16 MB.
 POOL_TOKENS = 2_000_000
 #: Words, and parts of words, whose ids a worker remembers; about 120 MB.
 CACHED_WORDS = 600_000
 #: Bytes of text tokenized at a time.
-TEXT_BYTES = 8_000_000
+TEXT_BYTES = 4_000_000
 
 
 class Limits(NamedTuple):
@@ -279,6 +281,7 @@ def _pack(path, end_id, limits, prompt_part):
             for start, end in _batches_of_text(batch, TEXT_BYTES):
                 part = batch.slice(start, end - start)
                 prompts, texts = (tokenizer.encode(part.column(name)) for name in ("prompt", "text"))
+                give_back()
                 for key, prompt, text in zip(part.column("doc_id").to_pylist(), prompts, texts):
                     ids = np.frombuffer(prompt + text + tokenizer.end, "<u4")
                     own = len(text) // 4
@@ -286,6 +289,7 @@ def _pack(path, end_id, limits, prompt_part):
                     if pool.tokens >= POOL_TOKENS:
                         yield from placed(pool.sequences(POOL_TOKENS // 2), number)
         yield from placed(pool.sequences(0), number)
+        give_back()
 
     return scan
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from locrank.llm.words import keep, spaced_words, utf8
+from locrank.llm.words import give_back, keep, spaced_words, utf8
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -96,6 +96,7 @@ def statistics(docs, names):
     @F.arrow_udf(", ".join(f"{name} long" for name in _COUNTS))
     def counted(texts: pa.Array) -> pa.Array:
         rows = [counts_of(text) for at in range(0, len(texts), 512) for text in utf8(texts.slice(at, 512))]
+        give_back()
         return pa.StructArray.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(len(_COUNTS))], _COUNTS)
 
     row = F.struct(*(F.col(f"`{name}`") for name in names)).alias("row")

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from locrank.llm.components import components
-from locrank.llm.words import column_bytes, keep, spaced_words, whole_rows
+from locrank.llm.words import column_bytes, give_back, keep, spaced_words, whole_rows
 
 #: Fingerprints per side of one comparison task in a bucket that needs pairs compared.
 BLOCK = 4096
@@ -66,6 +66,7 @@ def fingerprints(docs, size=4):
             prints = [fingerprint(text, size) for text in column_bytes(batch, "text")]
             columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(prints, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "fp"])
+        give_back()
 
     kind = dict(docs.dtypes)["doc_id"]
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")

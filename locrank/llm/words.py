@@ -1,5 +1,7 @@
 """Words, Arrow batches and tables kept between jobs, shared by the operators."""
 
+import ctypes
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -32,6 +34,18 @@ def column_bytes(batch, name):
     return utf8(batch.column(name))
 
 
+def give_back():
+    """Return memory that was freed to the system, where the C library can.
+
+    Workers are used again from stage to stage; without this each keeps the most it ever used, beside
+    a Java heap that does the same.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def whole_rows(docs):
     """docs as one column row, a struct of all its columns, beside which names are free."""
     return docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
