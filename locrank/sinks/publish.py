@@ -17,7 +17,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from locrank.operators.checks import check_output
+from locrank.operators.checks import check_output, outside
 from locrank.storage import delete, exists, located
 
 COMMIT = "number long, run string, row_count long"
@@ -35,13 +35,23 @@ class OutputRules:
     ranges: dict | None = None
     least_rows: int = 1
 
-    def broken(self, frame):
-        """The rules that a frame breaks, from one row of counts about it."""
-        found = check_output(frame, list(self.keys), self.ranges).first().asDict()
-        bad = {name: n for name, n in found.items() if n and name in ("repeated_keys", "null_key_rows")}
-        bad |= {name: n for name, n in found.items() if n and name.startswith("outside_")}
+    def metrics(self):
+        """Counts that need no other row, taken while the rows are written."""
+        return [outside(name, *limits).alias(f"outside_{name}") for name, limits in (self.ranges or {}).items()]
+
+    def broken(self, stored, counts):
+        """The rules that a version breaks.
+
+        stored is the version as written, of which only the keys are read; counts holds the rows and
+        the metrics of its write. Rows that are written but not found are reported as lost.
+        """
+        found = check_output(stored.select(*self.keys), list(self.keys)).first().asDict()
+        bad = {name: found[name] for name in ("repeated_keys", "null_key_rows") if found[name]}
+        bad |= {name: n for name, n in counts.items() if n and name.startswith("outside_")}
         if found["row_count"] < self.least_rows:
             bad["row_count"] = found["row_count"]
+        if found["row_count"] != counts["rows"]:
+            bad["lost_rows"] = counts["rows"] - found["row_count"]
         return bad
 
 
@@ -85,7 +95,8 @@ def publish(df, dataset, on_missing="create", rules=None):
 
     on_missing="skip" writes nothing where the dataset's folder does not exist yet, and says so
     in the result. A version that breaks `rules` is removed, the last one stays, and the error says
-    what was wrong. Rows are counted while they are written.
+    what was wrong. Rows and values outside their range are counted while they are written; only the keys are
+    read again, to find repeated ones.
     """
     if on_missing not in ("create", "skip"):
         raise ValueError(f"on_missing is create or skip, not {on_missing}")
@@ -95,9 +106,9 @@ def publish(df, dataset, on_missing="create", rules=None):
     run = uuid.uuid4().hex
     version = f"{dataset.path}/versions/{run}"
     counted = Observation()
-    rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    rows = df.observe(counted, F.count(F.lit(1)).alias("rows"), *(rules.metrics() if rules else []))
     rows.write.format(dataset.format).options(**dataset.write_options).save(version)
-    broken = rules.broken(dataset.read(spark, version)) if rules else None
+    broken = rules.broken(dataset.read(spark, version), counted.get) if rules else None
     if broken:
         delete(spark, version)
         raise OutputCheckError(f"{dataset.name} is not published: {broken}")

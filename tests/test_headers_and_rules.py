@@ -1,5 +1,6 @@
 """Columns by header name, versions by number, rules before a commit, scratch folders."""
 
+import importlib
 from pathlib import Path
 
 import pytest
@@ -109,3 +110,27 @@ def test_a_local_warehouse_serves_local_sessions_only(spark, master, allowed):
     else:
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             shared_root(session)
+
+
+def test_rules_read_the_keys_alone(spark, tmp_path, monkeypatch):
+    module = importlib.import_module("locrank.sinks.publish")
+
+    plans, check = [], module.check_output
+
+    def seen(frame, keys):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return check(frame, keys)
+
+    monkeypatch.setattr(module, "check_output", seen)
+    rows = spark.range(5).selectExpr("id", "id * 1.5 as value", "'x' as note")
+    dataset = Dataset("d", str(tmp_path / "d"))
+    publish(rows, dataset, rules=OutputRules(("id",), {"value": (0, 100)}))
+    assert len(plans) == 1 and "ReadSchema: struct<id:bigint>" in plans[0]
+    with pytest.raises(OutputCheckError, match="'outside_value': 2"):
+        publish(rows, dataset, rules=OutputRules(("id",), {"value": (0, 4)}))
+
+
+def test_lost_rows_break_the_rules(spark, tmp_path):
+    rules = OutputRules(("id",))
+    assert rules.broken(spark.range(3), {"rows": 3}) == {}
+    assert rules.broken(spark.range(3), {"rows": 5}) == {"lost_rows": 2}
