@@ -4,6 +4,8 @@ Each of these reduces its input inside the map tasks before anything is shuffled
 holds a third of all rows sends one row per map task and key, not its rows.
 """
 
+from decimal import Decimal
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -22,7 +24,8 @@ def sum_by(df, keys, measures, scale=None):
         if scale is None:
             return F.sum(name).alias(name)
         units = F.rint(F.col(name) * 10**scale).cast("long").cast("decimal(18,0)")
-        return (F.sum(units).cast("double") / 10**scale).alias(name)
+        # Divided as decimals and rounded once, when the total becomes a double.
+        return (F.sum(units) * F.lit(Decimal(1).scaleb(-scale))).cast("double").alias(name)
 
     return df.groupBy(*keys).agg(*[total(name) for name in measures])
 

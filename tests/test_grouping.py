@@ -1,5 +1,6 @@
 import random
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -80,3 +81,10 @@ def test_top_k_ties_nulls_and_large_k(spark):
     assert [r.location for r in top_k(frame, "rate", 2).collect()] == ["c", "b"]
     assert [r.location for r in top_k(frame, "rate", 9).collect()] == ["c", "b", "d", "a"]
     assert "TakeOrderedAndProject" in plan_of(top_k(frame, "rate", 2))
+
+
+def test_large_exact_totals_are_rounded_once(spark):
+    """90,071,992,547,409.93 three times has more units than a double holds."""
+    rows = spark.createDataFrame([("a", 90071992547409.93)] * 3, "k string, v double")
+    units = round(90071992547409.93 * 100) * 3
+    assert sum_by(rows, ["k"], ["v"], scale=2).first().v == float(Decimal(units) / 100)
