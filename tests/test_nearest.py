@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from locrank.operators import near_names, nearest_names
+from locrank.operators import near_names, nearest, nearest_names
 
 
 def apart(a, b):
@@ -41,3 +41,21 @@ def test_nearest_of_several_and_of_none(spark):
     assert nearest_names(names(spark, []), names(spark, ["a"])).count() == 0
     plan = near_names(names(spark, ["a"]), names(spark, ["b"]))._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("most", [1, 12, 10_000])
+def test_names_of_any_length_against_all_pairs(spark, monkeypatch, most):
+    """By grams alone, by both ways, and by rests alone."""
+    monkeypatch.setattr(nearest, "MOST_RESTS", most)
+    test_against_all_pairs(spark, 1, 3)
+
+
+def test_names_that_begin_alike_meet_few_others(spark):
+    """Numbered names have most of their grams in common; the pairs that are compared grow with the names."""
+    known = spark.range(3000).selectExpr("printf('Customer#%09d', id) as name")
+    lost = known.selectExpr("replace(name, 'Customer', 'Custommer') as name")
+    signs = nearest._signs(lost, known, 1, 3)
+    met = signs.where("side = 0").select("sign", "name").join(signs.where("side = 1").select("sign"), "sign")
+    assert met.count() <= 4 * 3000
+    near = near_names(lost, known)
+    assert near.where("replace(name, 'mm', 'm') = near and distance = 1").count() == near.count() == 3000
