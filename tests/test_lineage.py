@@ -107,3 +107,15 @@ def test_contract(spark):
         ("two", 2, 0),
         ("two places", 2, 0),
     ]
+
+
+def test_names_are_sorted_by_a_hash_and_stay_apart(spark):
+    """Datasets that begin alike and tasks that are numbers have the edges and lines of any other."""
+    producers = spark.range(200).selectExpr("id as task", "concat('data/set/', id) as dataset")
+    consumers = spark.range(200).selectExpr("id + 1000 as task", "concat('data/set/', id % 50) as dataset")
+    edges = derive_edges(producers, consumers)
+    plan = edges._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("hex(xxhash64(dataset") == 2
+    assert sorted(map(tuple, edges.collect())) == sorted((n % 50, n + 1000) for n in range(200))
+    assert {r.line for r in fan_in(edges).collect()} == {f"{n % 50} >> {n + 1000}" for n in range(200)}
+    assert "md5" not in fan_in(edges)._jdf.queryExecution().optimizedPlan().toString()
