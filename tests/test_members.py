@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from locrank.operators import cycle_members, members
 from locrank.operators.members import numbered
@@ -77,3 +78,15 @@ def test_the_error_names_the_tasks_of_the_cycle(spark):
     with pytest.raises(CyclicFlowError, match="3 tasks depend on their own output: a, b, c") as raised:
         dependency_lines(spark.createDataFrame(tasks, TASK_SPEC))
     assert {tuple(r) for r in raised.value.members.collect()} == {(t, "a", 3) for t in "abc"}
+
+
+def test_vertices_of_one_hash_are_numbered(spark, monkeypatch):
+    used = []
+    monkeypatch.setattr(members, "_hashed", lambda name: F.pmod(F.xxhash64(name), F.lit(3)))
+    monkeypatch.setattr(members, "numbered", lambda names: used.append(1) or numbered(names))
+    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "x"), ("x", "y"), ("s", "s")]
+    assert found(spark, edges, "string") == by_hand(edges) and used
+    used.clear()
+    monkeypatch.undo()
+    monkeypatch.setattr(members, "numbered", lambda names: used.append(1) or numbered(names))
+    assert found(spark, edges, "string") == by_hand(edges) and not used
