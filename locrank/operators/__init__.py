@@ -15,8 +15,10 @@ from locrank.operators.lineage import (
     contract_violations,
     derive_edges,
     fan_in,
+    lines_by,
     outputs_of,
     producers_of,
+    read_producers,
 )
 from locrank.operators.members import cycle_members, cycle_tasks
 from locrank.operators.nearest import near_names, nearest_names
@@ -36,12 +38,14 @@ __all__ = [
     "is_acyclic_lineage",
     "join_on_key",
     "latest_per_key",
+    "lines_by",
     "lost_keys",
     "near_names",
     "nearest_names",
     "one_row_per_key",
     "outputs_of",
     "producers_of",
+    "read_producers",
     "rows_per_key",
     "rows_with_match",
     "salted_join",

@@ -1,10 +1,14 @@
 import json
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from locrank.operators import read_producers
 from locrank.plans.dependencies import CyclicFlowError, OutputContractError, dependency_lines
 from locrank.sources import read_task_specs
+from locrank.storage import CLEANUP, keep, shared_root
 
 
 def task(name, inputs, *outputs):
@@ -78,3 +82,66 @@ def test_answers_of_the_star_schema_follow_its_rows(spark, monkeypatch):
         dependency_lines(rows.unionAll(loop).groupBy("task").agg(
             F.flatten(F.collect_list("inputs")).alias("inputs"), F.first("outputs").alias("outputs")
         ))
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while files.hasNext():
+        names.add(files.next().getName())
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def left_behind(spark, before):
+    """Shuffle files that are new and stay; Spark removes them a moment after the write."""
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    return shuffle_files(spark) - before
+
+
+@pytest.mark.parametrize("own", [None, "false"])
+def test_a_kept_table_leaves_no_shuffle_files(spark, settings, own):
+    if own:
+        settings(CLEANUP, own)
+    before, setting = shuffle_files(spark), spark.conf.get(CLEANUP, None)
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("n")).count()
+    kept = keep(counted, "test")
+    assert not left_behind(spark, before)
+    assert spark.conf.get(CLEANUP, None) == setting
+    assert sorted(map(tuple, kept.collect())) == sorted((n, len(range(n, 1000, 7))) for n in range(7))
+    assert keep(counted, "test").count() == 7  # the frame itself can be written again
+
+
+def test_only_outputs_that_are_read_go_on(spark):
+    producers = spark.createDataFrame(
+        [("a", 1), ("a", 2), ("b", 2), ("b", 2), ("c", None), ("d", 9)], "task string, dataset int"
+    )
+    consumers = spark.createDataFrame([("x", 2), ("x", 2), ("y", None), ("a", 9)], "task string, dataset long")
+    found = read_producers(producers, consumers)
+    assert found.columns == producers.columns
+    assert sorted(map(tuple, found.collect())) == [("a", 2), ("b", 2), ("b", 2), ("d", 9)]
+
+
+def test_edges_come_from_producers_that_are_read(specs, monkeypatch):
+    from locrank.plans import dependencies
+
+    seen = []
+    derive = dependencies.derive_edges
+    monkeypatch.setattr(dependencies, "derive_edges", lambda p, c, **o: seen.append(p.count()) or derive(p, c, **o))
+    tasks = [task(f"task_{n}", [f"d_{n - 1}"] if n < 5 else [], f"d_{n}") for n in range(1, 300)]
+    lines = dependency_lines(specs(tasks))
+    assert seen == [3]
+    assert sorted(r.line for r in lines.collect()) == [f"task_{n} >> task_{n + 1}" for n in range(1, 4)]
+
+
+def test_the_specifications_of_rows_are_compressed(spark):
+    from locrank.plans.queries import lineage_dependency_lines
+
+    folder = Path(shared_root(spark).removeprefix("file:")) / "locrank"
+    before = set(folder.glob("tasks-*")) if folder.exists() else set()
+    lineage_dependency_lines(spark, "/root/testdata/sf0.001")
+    (path,) = set(folder.glob("tasks-*")) - before
+    names = [f.name for f in path.iterdir() if f.name.startswith("part-")]
+    assert names and all(name.endswith(".json.gz") for name in names)
