@@ -7,6 +7,7 @@ from locrank.operators import (
     contract_violations,
     derive_edges,
     fan_in,
+    lines_by,
     outputs_of,
     producers_of,
 )
@@ -119,3 +120,35 @@ def test_names_are_sorted_by_a_hash_and_stay_apart(spark):
     assert sorted(map(tuple, edges.collect())) == sorted((n % 50, n + 1000) for n in range(200))
     assert {r.line for r in fan_in(edges).collect()} == {f"{n % 50} >> {n + 1000}" for n in range(200)}
     assert "md5" not in fan_in(edges)._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+@pytest.mark.parametrize("kind", ["string", "long"])
+def test_edges_are_dealt_out_once_for_the_lines(spark, settings, parts, kind):
+    """One shuffle of bare edges, after a table of pairs; the lines are those of any other edges."""
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    def tasks(ids):
+        return ids.selectExpr(f"cast(task as {kind}) as task", "concat('data/', dataset) as dataset")
+
+    producers = tasks(spark.range(400).selectExpr("id % 300 as task", "id % 100 as dataset"))
+    consumers = tasks(spark.range(3000).selectExpr("if(id % 3 = 0, 1000, 1000 + id % 700) as task", "id % 130 as dataset"))
+    plain = fan_in(derive_edges(producers, consumers), parts)
+    edges = derive_edges(producers, consumers, by=lines_by(parts))
+    lines = fan_in(edges, parts)
+    assert edges.count() == edges.distinct().count() == derive_edges(producers, consumers).count()
+    assert lines.schema == plain.schema
+    assert sorted(map(tuple, lines.collect())) == sorted(map(tuple, plain.collect()))
+    plan = fan_in(edges, parts)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    # What is shuffled has no array yet.
+    assert plan.rindex("ObjectHashAggregate") < plan.index("Exchange")
+
+
+def test_queries_of_lines_join_before_the_edges_are_dealt_out(spark, settings):
+    from locrank.plans.queries import lineage_fan_in, lineage_fan_in_parts
+
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for query in (lineage_fan_in, lineage_fan_in_parts):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Join" not in plan
