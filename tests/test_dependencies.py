@@ -124,15 +124,16 @@ def test_only_outputs_that_are_read_go_on(spark):
     assert sorted(map(tuple, found.collect())) == [("a", 2), ("b", 2), ("b", 2), ("d", 9)]
 
 
-def test_edges_come_from_producers_that_are_read(specs, monkeypatch):
+def test_cycles_and_edges_are_of_producers_that_are_read(specs, monkeypatch):
     from locrank.plans import dependencies
 
     seen = []
-    derive = dependencies.derive_edges
-    monkeypatch.setattr(dependencies, "derive_edges", lambda p, c, **o: seen.append(p.count()) or derive(p, c, **o))
+    for name in ("is_acyclic_lineage", "derive_edges"):
+        step = getattr(dependencies, name)
+        monkeypatch.setattr(dependencies, name, lambda p, c, step=step, **o: seen.append(p.count()) or step(p, c, **o))
     tasks = [task(f"task_{n}", [f"d_{n - 1}"] if n < 5 else [], f"d_{n}") for n in range(1, 300)]
     lines = dependency_lines(specs(tasks))
-    assert seen == [3]
+    assert seen == [3, 3]
     assert sorted(r.line for r in lines.collect()) == [f"task_{n} >> task_{n + 1}" for n in range(1, 4)]
 
 
